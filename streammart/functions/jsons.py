@@ -31,11 +31,18 @@ def parse_rows(
         )
     elif on_error != "quarantine":
         raise ValueError(f"on_error is {on_error!r}")
-    parsed = df.withColumn("_row", row)
-    if on_error == "quarantine":
-        parsed = parsed.withColumn("dirty", F.col("_row").isNull())
-    fields = {name: F.col("_row")[name] for name in schema.fieldNames()}
-    return parsed.withColumns(fields).drop("_row")
+    fields = [F.col("_row")[name].alias(name) for name in schema.fieldNames()]
+    flag = [F.col("_row").isNull().alias("dirty")] if on_error == "quarantine" else []
+    return once(df, row, "_row").select(*[F.col(c) for c in df.columns], *fields, *flag)
+
+
+def once(df: DataFrame, expensive: Column, name: str) -> DataFrame:
+    """Add a column that is computed exactly once per row.
+
+    As the output of a generator it is not copied into the filters and columns
+    that use it later, which the optimizer does with a plain column.
+    """
+    return df.select("*", F.explode(F.array(expensive)).alias(name))
 
 
 def split_dirty(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,16 +50,12 @@ def split_dirty(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~F.col("dirty")).drop("dirty"), df.filter("dirty").drop("dirty")
 
 
-def non_empty(variant: str) -> Column:
-    """True where a field is there and is neither JSON null nor an empty text."""
-    text = F.try_variant_get(F.col(variant), "$", "string")
-    return text.isNotNull() & (F.length(text) > 0)
+def keep_fields(row: Column, names: Column) -> Column:
+    """The fields of an object, a map of variants, that are named in an array.
 
-
-def keep_fields(variant: Column, names: Column) -> Column:
-    """The object with only the named fields; numbers stay numbers."""
-    fields = F.try_variant_get(variant, "$", "map<string,variant>")
-    return F.map_filter(fields, lambda name, _: F.array_contains(names, name))
+    Numbers stay numbers.
+    """
+    return F.map_filter(row, lambda name, _: F.array_contains(names, name))
 
 
 def put_field(variant: Column, name: str, value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streammart.functions.jsons import keep_fields, non_empty, parse_rows, typed
+from streammart.functions.jsons import keep_fields, once, parse_rows, typed
 from streammart.operators.latest import last_per_key
 from streammart.operators.skew import lookup_join
 from streammart.schemas import CHANGE, FEED_RECORD, RULES
@@ -17,13 +17,16 @@ OPERATIONS = {"c": "create", "u": "update", "d": "delete", "r": "read"}
 
 
 def parse_changes(raw: DataFrame, value: str = "value", on_error: str = "quarantine") -> DataFrame:
-    """JSON envelopes to ``database``, ``table``, ``type`` and variant ``data``."""
+    """JSON envelopes to ``database``, ``table``, ``type`` and ``data``.
+
+    ``data`` maps the row's column names to their values, each of its own type.
+    """
     return parse_rows(raw, CHANGE, value, on_error)
 
 
 def with_data(changes: DataFrame) -> DataFrame:
     """Drop change events that carry no row."""
-    return changes.filter(non_empty("data"))
+    return changes.filter(F.col("data").isNotNull())
 
 
 def normalise_type(changes: DataFrame) -> DataFrame:
@@ -60,11 +63,12 @@ def route_changes(
         how="left",
         small=small_rules,
     )
-    data = F.to_json("data")
+    text = F.to_json("data")
     if prune:
         pruned = F.to_json(keep_fields(F.col("data"), F.split("sink_columns", ",")))
-        data = F.when(F.col("sink_columns").isNotNull(), pruned).otherwise(data)
-    return routed.withColumn("data", data).drop("sink_columns")
+        text = F.when(F.col("sink_columns").isNotNull(), pruned).otherwise(text)
+    order = [c for c in routed.columns if c not in ("data", "sink_columns")]
+    return once(routed, text, "_text").select(*order, F.col("_text").alias("data"))
 
 
 def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -86,6 +90,7 @@ def flatten_feed(feed: DataFrame, topic: str = "topic", value: str = "value") ->
     """
     record = parse_rows(feed, FEED_RECORD, value, on_error="fail")
     op = F.lower("op")
+    no_row = F.create_map().cast(CHANGE["data"].dataType)
     codes = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
     names = F.split(topic, r"\.")
     return record.withColumns(
@@ -93,7 +98,7 @@ def flatten_feed(feed: DataFrame, topic: str = "topic", value: str = "value") ->
             "database": names[1],
             "table": names[2],
             "type": F.coalesce(F.try_element_at(codes, op), op),
-            "data": F.coalesce("after", F.parse_json(F.lit("{}"))),
+            "data": F.coalesce("after", no_row),
         }
     ).drop("op", "after")
 
@@ -107,9 +112,8 @@ def latest_rules(feed: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """
     gone = F.col("type") == "delete"
     row = F.when(gone, F.col("before")).otherwise(F.col("data"))
-    rules = feed.withColumn(
-        "_rule", F.try_variant_get(row, "$", RULES.simpleString())
-    ).select("type", *order_by, "_rule.*")
+    fields = [row[name].cast("string").alias(name) for name in RULES.fieldNames()]
+    rules = feed.select("type", *order_by, *fields)
     last = last_per_key(rules, ["source_table", "operate_type"], order_by)
     return last.filter("type <> 'delete'").select(*RULES.fieldNames())
 

@@ -17,7 +17,7 @@ def interval_join(
     lower: str,
     upper: str,
     delays: tuple[str, str] = ("0 seconds", "0 seconds"),
-    hot: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Pairs with equal keys where the second feed's time lies in a range.
 
@@ -52,7 +52,7 @@ def enrich(
     on: dict[str, str],
     columns: dict[str, str],
     small: bool | None = None,
-    hot: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Add dimension columns to facts; a fact without a match keeps nulls.
 

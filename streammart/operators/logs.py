@@ -13,16 +13,11 @@ from streammart.schemas import APP_LOG
 def parse_app_log(raw: DataFrame, value: str = "value", on_error: str = "quarantine") -> DataFrame:
     """Raw JSON text to flat log columns; the text itself is kept in ``value``."""
     parsed = parse_rows(raw, APP_LOG, value, on_error)
-    flat = {
-        "mid": "common.mid", "vc": "common.vc", "ch": "common.ch", "ar": "common.ar",
-        "is_new": "common.is_new", "page_id": "page.page_id",
-        "last_page_id": "page.last_page_id", "item": "page.item",
-        "item_type": "page.item_type", "during_time": "page.during_time",
-    }
-    return (
-        parsed.withColumns({name: F.col(path) for name, path in flat.items()})
-        .withColumns({"start": F.to_json("start"), "event_time": from_millis("ts")})
-        .drop("common", "page")
+    kept = [c for c in parsed.columns if c not in ("common", "page", "start")]
+    flat = ["common.mid", "common.vc", "common.ch", "common.ar", "common.is_new", "page.page_id",
+            "page.last_page_id", "page.item", "page.item_type", "page.during_time"]
+    return parsed.select(
+        *kept, *flat, F.to_json("start").alias("start"), from_millis("ts").alias("event_time")
     )
 
 

@@ -9,6 +9,7 @@ per part, so that each pair still meets exactly once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,9 +19,9 @@ from pyspark.sql import types as T
 #: A lookup is broadcast only when its measured content is below this.
 BROADCAST_BYTES = 32 << 20
 
-#: A key with more than this share of all facts is hot.  At most ``1 / HOT_SHARE``
-#: keys can be, whatever the size of the data, so the list of hot keys is always
-#: small enough to broadcast.
+#: A key with more than this share of all facts, and more than this many rows, is
+#: hot.  At most ``1 / HOT_SHARE`` keys can be, whatever the size of the data, so
+#: their list may be held by the driver and broadcast.
 HOT_SHARE = 1e-4
 HOT_MIN_ROWS = 1_000_000
 
@@ -51,20 +52,21 @@ def hot_keys(
     keys: Sequence[str],
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """The hot keys and into how many parts to split each: ``keys``, ``_parts``.
+) -> list[tuple]:
+    """The hot keys, each with the number of parts to split it into.
 
-    Reads only the key columns; counts are combined before the shuffle.
+    Reads only the key columns, and combines counts before the shuffle.  A table
+    of no more than ``min_rows`` rows has none, which one count settles.  Give a
+    stored table, as the keys are read in a job of their own.
     """
-    present = facts.select(*keys).dropna()
-    total = present.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    return (
-        present.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
-    )
+    present = facts.select(*keys)
+    total = present.count()
+    if total <= min_rows:
+        return []
+    limit = max(total * share, min_rows)
+    counts = present.dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.filter(F.col("_n") > limit).collect()
+    return [(*row[:-1], math.ceil(row["_n"] / limit)) for row in found]
 
 
 def lookup_join(
@@ -74,20 +76,21 @@ def lookup_join(
     how: str = "inner",
     condition: Column | None = None,
     small: bool | None = None,
-    hot: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on ``{fact column: lookup column}``.
 
     The result has the fact columns, then the lookup columns other than its
     keys.  ``condition`` may name columns of both.  ``small`` skips measuring the
-    lookup; ``hot`` replaces the search for hot keys by a known list: the keys in
-    the order of ``on``, then ``_parts``, as :func:`hot_keys` gives them.
+    lookup.  ``hot`` skips the search for hot keys: a list as :func:`hot_keys`
+    gives, its keys in the order of ``on``; an empty one when there are none.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join does not support {how!r}")
+    columns = facts.columns
     renamed = {column: f"_key_{i}" for i, column in enumerate(on.values())}
     extra = [c for c in lookup.columns if c not in renamed]
-    clash = set(extra) & set(facts.columns)
+    clash = set(extra) & set(columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     right = lookup.withColumnsRenamed(renamed)
@@ -95,20 +98,27 @@ def lookup_join(
     for i, column in enumerate(on):
         same = F.col(column) == F.col(f"_key_{i}")
         match = same if match is None else match & same
-    output = [*facts.columns, *extra]
 
     if small is None:
         small = fits_broadcast(right)
     if small:
-        return facts.join(F.broadcast(right), match, how).select(*output)
-    if facts.isStreaming:
-        return facts.join(right, match, how).select(*output)
-
-    hot = hot_keys(facts, list(on)) if hot is None else hot
-    flags = F.broadcast(hot.toDF(*[f"_hot_{i}" for i in range(len(on))], "_parts"))
-    left = _spread(facts, list(on), flags)
-    right = _repeat(right, list(renamed.values()), flags)
-    return left.join(right, match & (F.col("_part") == F.col("_part_of")), how).select(*output)
+        return facts.join(F.broadcast(right), match, how).select(*columns, *extra)
+    if hot is None:
+        hot = [] if facts.isStreaming else hot_keys(facts, list(on))
+    if hot:
+        flags = _flags(facts, list(on), hot)
+        facts = _spread(facts, list(on), flags)
+        right = _repeat(right, list(renamed.values()), flags)
+        match = match & (F.col("_part") == F.col("_part_of"))
+    return facts.join(right, match, how).select(*columns, *extra)
+
+
+def _flags(facts: DataFrame, keys: list[str], hot: list[tuple]) -> DataFrame:
+    """The hot keys as a table; at most ``1 / HOT_SHARE`` rows."""
+    kinds = facts.select(*keys).schema.fields
+    fields = [T.StructField(f"_hot_{i}", f.dataType) for i, f in enumerate(kinds)]
+    schema = T.StructType([*fields, T.StructField("_parts", T.IntegerType())])
+    return F.broadcast(facts.sparkSession.createDataFrame(hot, schema))
 
 
 def _is_hot(keys: list[str]) -> Column:

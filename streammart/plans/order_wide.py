@@ -55,7 +55,7 @@ def join_order_lines(
     details: DataFrame,
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
-    hot: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Each order line with its order, one wide row per line.
 
@@ -150,7 +150,7 @@ def join_payments(
     wide: DataFrame,
     lower: str = "-15 minutes",
     upper: str = "0 seconds",
-    hot: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Each payment with the wide lines of its order.
 
@@ -204,9 +204,11 @@ def _present(df: DataFrame, *names: str) -> list[Column]:
 
 def _shaped(df: DataFrame, schema) -> DataFrame:
     """The columns of a schema, null where absent, and the event time."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS {f.name}"
             for f in schema.fields
         ],
         "event_time",

@@ -16,6 +16,7 @@ _TYPES = {
     "money": MONEY,
     "variant": T.VariantType(),
     "variants": T.ArrayType(T.VariantType()),
+    "row": T.MapType(T.StringType(), T.VariantType()),
 }
 
 
@@ -39,10 +40,10 @@ APP_LOG = T.StructType(
     ]
 )
 
-CHANGE = _struct(database="text", table="text", type="text", data="variant")
+CHANGE = _struct(database="text", table="text", type="text", data="row")
 
 #: One record of a database log reader, before it is flattened.
-FEED_RECORD = _struct(op="text", before="variant", after="variant")
+FEED_RECORD = _struct(op="text", before="row", after="row")
 
 RULES = _struct(
     source_table="text", operate_type="text", sink_type="text", sink_table="text",

@@ -188,7 +188,7 @@ def _bounces(spark, sf):
 # -- order feeds -------------------------------------------------------------
 
 
-def _hot_orders(spark, sf) -> DataFrame:
+def _hot_orders(spark, sf) -> list[tuple]:
     """Hot order keys, found on the stored lines rather than on joined ones."""
     return hot_keys(roles.table(spark, sf, "lineitem"), ["l_orderkey"])
 
