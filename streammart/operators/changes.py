@@ -119,5 +119,12 @@ def latest_rules(feed: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def typed_data(changes: DataFrame, schema, keep: Sequence[str] = ()) -> DataFrame:
-    """The rows inside routed changes, as typed columns."""
-    return changes.select(*keep, typed("data", schema).alias("_data")).select(*keep, "_data.*")
+    """The rows inside routed changes, as typed columns.
+
+    ``keep`` takes columns of the change along, by name or with an underscore in
+    front where the row has a column of that name.
+    """
+    kept = [F.col(c.removeprefix("_")).alias(c) for c in keep]
+    names = [F.col("_data")[n].alias(n) for n in schema.fieldNames()]
+    rows = changes.select(*kept, typed("data", schema).alias("_data"))
+    return rows.select(*keep, *names)

@@ -40,7 +40,8 @@ APP_LOG = T.StructType(
     ]
 )
 
-CHANGE = _struct(database="text", table="text", type="text", data="row")
+#: A change event; ``ts`` is when the database made the change, if it is told.
+CHANGE = _struct(database="text", table="text", type="text", ts="long", data="row")
 
 #: One record of a database log reader, before it is flattened.
 FEED_RECORD = _struct(op="text", before="row", after="row")

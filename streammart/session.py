@@ -16,7 +16,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.metricsEnabled": "false",
+    # Upload the changes of a micro-batch instead of whole state snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

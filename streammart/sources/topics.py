@@ -91,9 +91,11 @@ class Topics:
 
     # -- writing ---------------------------------------------------------
 
-    def write(self, df: DataFrame, topic: str, job: str, trigger: dict | None = None):
+    def write(
+        self, df: DataFrame, topic: str, job: str, trigger: dict | None = None
+    ) -> StreamingQuery:
         """Send the ``value`` column of a stream to one topic."""
-        return self.write_routed(df.withColumn("topic", F.lit(topic)), f"{job}-{topic}", trigger)
+        return self.write_routed(df.select(F.lit(topic).alias("topic"), "value"), job, trigger)
 
     def write_routed(self, df: DataFrame, job: str, trigger: dict | None = None) -> StreamingQuery:
         """Send each record of a stream to the topic named in its ``topic`` column.
@@ -114,7 +116,11 @@ class Topics:
         return writer.foreachBatch(lambda rows, i: self.put(rows, job, i)).start()
 
     def put(self, records: DataFrame, source: str, batch: int = 0) -> None:
-        """Write one batch of (``topic``, ``value``) records to the folders."""
+        """Write one batch of (``topic``, ``value``) records."""
+        if self.bootstrap:
+            writer = records.write.format("kafka").options(**self.options)
+            writer.option("kafka.bootstrap.servers", self.bootstrap).save()
+            return
         (
             records.withColumns({"src": F.lit(source), "batch": F.lit(batch)})
             .write.mode("overwrite")

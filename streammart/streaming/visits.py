@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -71,7 +72,7 @@ class _FirstClaim(StatefulProcessor):
 
     def _flagged(self, values: list, flag: str) -> Row:
         values[self.flag] = flag
-        return Row(*values)
+        return Row(**dict(zip(self.names, values)))
 
     def close(self) -> None:
         pass
@@ -135,8 +136,6 @@ class _Unfollowed(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        from bisect import bisect_right
-
         ties = {k[0]: v[0] for k, v in self.follows.iterator()}
         times = sorted(ties)
         for at, tie, row in self.entries.get():
