@@ -23,7 +23,7 @@ def parse_app_log(raw: DataFrame, value: str = "value", on_error: str = "quarant
         *kept,
         *flat,
         F.to_json("start").alias("start"),
-        F.transform("displays", F.to_json).alias("displays"),
+        F.transform("displays", lambda d: F.to_json(d)).alias("displays"),
         from_millis("ts").alias("event_time"),
     )
 
