@@ -27,7 +27,11 @@ def keyword_stats(
     delay: str = "2 seconds",
     dictionary: Iterable[str] = (),
 ) -> DataFrame:
-    """Word counts by window; a text without words adds nothing."""
+    """Word counts by window; a text without words adds nothing.
+
+    On a stream the watermark follows the searches, not all page views, because
+    Spark filters before it: the last windows are emitted with the next search.
+    """
     tokens = texts.select("event_time", F.explode(words(text, dictionary)).alias("keyword"))
     counted = tumbling_agg(tokens, ["keyword"], {"ct": F.count(F.lit(1))}, size, delay=delay)
     return counted.withColumn("source", F.lit(source)).select(*KEYWORD_STATS)
