@@ -434,3 +434,23 @@ SELECT '{{"status":0,"data":{{"categories":["' || string_agg(hr, '","' ORDER BY
   ']}},{{"name":"new_uv","data":[' || string_agg(new_uv, ',' ORDER BY h) || ']}}]}}}}' AS chart
 FROM dense""",
 }
+
+# The streaming forms give what the batch forms give.
+ORACLES.update(
+    {
+        "stream_repair_is_new": ORACLES["repair_is_new"],
+        "stream_daily_unique_visit": f"""WITH {_PAGES}, {_UNIQUES}
+SELECT mid, strftime(ts, '%Y-%m-%d') AS visit_date FROM uniques""",
+        "stream_bounce_detect": ORACLES["bounce_detect"],
+        "stream_visitor_stats": ORACLES["visitor_stats"],
+        "stream_order_wide": ORACLES["order_wide_interval"],
+        "stream_province_stats": f"""WITH {_WIDE}
+SELECT {_bucket('o_orderdate', _DAY_US)} AS stt, {_bucket('o_orderdate', _DAY_US, 1)} AS edt,
+       province_id, CAST(CAST(sum(split_total_amount) AS DECIMAL(26,2)) AS DOUBLE) AS order_amount,
+       count(*) AS order_count
+FROM wide
+WHERE l_shipdate BETWEEN o_orderdate - INTERVAL 5 DAY AND o_orderdate + INTERVAL 5 DAY
+GROUP BY ALL""",
+        "stream_keyword_stats": ORACLES["keyword_stats"],
+    }
+)

@@ -95,11 +95,13 @@ def raw_app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_of(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def orders_of(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Order headers; the province is the nation of the customer."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    head = table(spark, sf_dir, "orders").join(
-        customers, F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
+    nations = customers.select("c_custkey", "c_nationkey")
+    head = orders.join(nations, F.col("o_custkey") == F.col("c_custkey"), "left")
     created = time_text("o_orderdate")
     return head.select(
         F.col("o_orderkey").alias("id"),
@@ -115,9 +117,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return details_of(table(spark, sf_dir, "lineitem"))
+
+
+def details_of(lines: DataFrame) -> DataFrame:
     """Order lines; the split amount is the line's price."""
     price = F.col("l_extendedprice").cast(MONEY)
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
