@@ -14,6 +14,7 @@ _TYPES = {
     "long": T.LongType(),
     "int": T.IntegerType(),
     "money": MONEY,
+    "total": MONEY_SUM,
     "variant": T.VariantType(),
     "variants": T.ArrayType(T.VariantType()),
     "row": T.MapType(T.StringType(), T.VariantType()),
@@ -97,20 +98,29 @@ PAYMENT_WIDE = _struct(
     callback_time="text", **_LINE_COLUMNS, order_create_time="text", **_DIMENSION_COLUMNS,
 )
 
-VISITOR_STATS = (
-    "stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum",
-)
-PRODUCT_STATS = (
-    "stt", "edt", "sku_id", "sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_name",
-    "category3_id", "category3_name", "display_ct", "click_ct", "favor_ct", "cart_ct",
-    "order_sku_num", "order_amount", "order_ct", "payment_amount", "paid_order_ct",
-    "refund_order_ct", "refund_amount", "comment_ct", "good_comment_ct",
-)
-PROVINCE_STATS = (
-    "stt", "edt", "province_id", "province_name", "province_area_code", "province_iso_code",
-    "province_3166_2_code", "order_amount", "order_count",
+#: The statistics tables as reports read them.
+STATS = {
+    "visitor_stats": _struct(
+        stt="text", edt="text", vc="text", ch="text", ar="text", is_new="text", uv_ct="long",
+        pv_ct="long", sv_ct="long", uj_ct="long", dur_sum="long",
+    ),
+    "product_stats": _struct(
+        stt="text", edt="text", sku_id="long", sku_name="text", sku_price="money", spu_id="long",
+        spu_name="text", tm_id="long", tm_name="text", category3_id="long", category3_name="text",
+        display_ct="long", click_ct="long", favor_ct="long", cart_ct="long", order_sku_num="long",
+        order_amount="total", order_ct="long", payment_amount="total", paid_order_ct="long",
+        refund_order_ct="long", refund_amount="total", comment_ct="long", good_comment_ct="long",
+    ),
+    "province_stats": _struct(
+        stt="text", edt="text", province_id="long", province_name="text",
+        province_area_code="text", province_iso_code="text", province_3166_2_code="text",
+        order_amount="total", order_count="long",
+    ),
+    "keyword_stats": _struct(keyword="text", ct="long", source="text", stt="text", edt="text"),
+}
+VISITOR_STATS, PRODUCT_STATS, PROVINCE_STATS, KEYWORD_STATS = (
+    tuple(schema.fieldNames()) for schema in STATS.values()
 )
-KEYWORD_STATS = ("keyword", "ct", "source", "stt", "edt")
 
 # Business codes, by group.
 CODES = {

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from streammart.schemas import RULES
+from streammart.schemas import RULES, STATS
 
 
 def jdbc_options(url: str, table: str, **more: str) -> dict[str, str]:
@@ -67,6 +68,12 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     ).partitionBy("dt").parquet(path)
 
 
+def read_stats(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A statistics table, which may still be empty, with its day column ``dt``."""
+    schema = T.StructType([*STATS[name].fields, T.StructField("dt", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def stats_sink(path: str, columns: Sequence[str]):
     """A ``foreachBatch`` function that adds finished windows to a statistics table.
 
