@@ -110,6 +110,10 @@ def lookup_join(
         facts = _spread(facts, list(on), flags)
         right = _repeat(right, list(renamed.values()), flags)
         match = match & (F.col("_part") == F.col("_part_of"))
+    if not facts.isStreaming:
+        # Compressed files look smaller than they are: keep the optimizer from
+        # broadcasting either side on such an estimate.  A merge join spills.
+        right = right.hint("merge")
     return facts.join(right, match, how).select(*columns, *extra)
 
 

@@ -27,11 +27,13 @@ def _document(data: Column) -> Column:
     return F.to_json(F.struct(F.lit(0).alias("status"), data.alias("data"))).alias("chart")
 
 
-def name_values(report: DataFrame, name: str, value: str) -> DataFrame:
-    """``{"data": [{"name": ..., "value": ...}, ...]}``, largest value first."""
+def name_values(
+    report: DataFrame, name: str, value: str, order_by: list[Column] | None = None
+) -> DataFrame:
+    """``{"data": [{"name": ..., "value": ...}, ...]}``, largest value first by default."""
     listed = _listed(
         report,
-        [-F.col(value), F.col(name)],
+        order_by or [-F.col(value), F.col(name)],
         F.col(name).alias("name"),
         F.col(value).alias("value"),
     )
@@ -74,3 +76,30 @@ def table(report: DataFrame, columns: dict[str, str], order_by: list[Column]) ->
 def single(report: DataFrame, value: str) -> DataFrame:
     """``{"data": value}`` for a report of one row."""
     return report.select(_document(F.col(value)))
+
+
+def chart(name: str, report: DataFrame) -> DataFrame:
+    """The chart document of one of the eight day reports."""
+    return _CHARTS[name](report)
+
+
+def _by_amount(name: str) -> list[Column]:
+    return [-F.col("order_amount"), F.col(name)]
+
+
+_CHARTS = {
+    "gmv": lambda r: single(r, "gmv"),
+    "trademark": lambda r: series(r, "tm_name", ["order_amount"], _by_amount("tm_name")),
+    "category3": lambda r: name_values(r, "category3_name", "order_amount"),
+    "spu": lambda r: table(
+        r,
+        {"spu_name": "SPU", "order_amount": "amount", "order_ct": "orders"},
+        _by_amount("spu_name"),
+    ),
+    "visitor": lambda r: table(r, {"type": "type", "new": "new", "old": "old"}, [F.col("line")]),
+    "hr": lambda r: series(r, "hr", ["uv_ct", "pv_ct", "new_uv"], [F.col("hr")]),
+    "province": lambda r: map_values(r, "province_name", "order_amount"),
+    "keyword": lambda r: name_values(
+        r, "keyword", "ct", [-F.col("plain_ct"), F.col("keyword")]
+    ),
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streammart.functions.times import time_text
 from streammart.operators.joins import enrich
 from streammart.operators.windows import tumbling_agg
 from streammart.plans.order_wide import Dims
@@ -47,14 +48,7 @@ def sources(
         *page_rows(pages, displays),
         (favors, {"favor_ct": F.lit(1)}),
         (carts, {"cart_ct": F.lit(1)}),
-        (
-            order_wide,
-            {
-                "order_amount": F.col(amount),
-                "order_sku_num": F.col("sku_num"),
-                "order_id": F.col("order_id"),
-            },
-        ),
+        order_rows(order_wide, amount),
         (
             payment_wide,
             {"payment_amount": F.col("split_total_amount"), "paid_order_id": F.col("order_id")},
@@ -67,6 +61,18 @@ def sources(
     ]
 
 
+def order_rows(order_wide: DataFrame, amount: str = "total_amount") -> tuple[DataFrame, dict]:
+    """Amount, number and order of every line sold."""
+    return (
+        order_wide,
+        {
+            "order_amount": F.col(amount),
+            "order_sku_num": F.col("sku_num"),
+            "order_id": F.col("order_id"),
+        },
+    )
+
+
 def product_measures(
     feeds: list[tuple[DataFrame, dict[str, Column]]],
     size: str = "2 seconds",
@@ -84,32 +90,48 @@ def product_measures(
 
 
 def _batch_measures(feeds, size: str, single_row_zero: bool) -> DataFrame:
-    """Each feed is aggregated by itself, then the few results are added up.
+    """One aggregate over the union of all feeds, with orders reduced beforehand.
 
-    An order id comes from one feed only, so the distinct counts of the feeds
-    add.  This avoids one aggregate with several distinct columns, which would
-    multiply its input rows.
+    A feed with order ids is first reduced to one row per sku, window and order,
+    which then counts 1.  That makes the distinct counts plain sums, and it
+    spreads a hot sku by its orders; an aggregate with three distinct columns
+    would multiply its input rows instead.
     """
-    partial = None
+    union = None
     for df, own in feeds:
         rows = df.filter(F.col("sku_id").isNotNull()).select(
-            "event_time", "sku_id", *[c.alias(n) for n, c in own.items()]
-        )
-        aggs = {"_rows": F.count(F.lit(1))}
-        aggs.update({m: F.sum(m).cast("bigint") if m in own else _zero() for m in COUNTS})
-        aggs.update(
-            {m: F.sum(m).cast(MONEY_SUM) if m in own else _zero(MONEY_SUM) for m in AMOUNTS}
+            F.window("event_time", size).alias("_window"),
+            F.col("sku_id").cast("bigint").alias("sku_id"),
+            *[c.alias(n) for n, c in own.items()],
         )
-        aggs.update({m: F.count_distinct(i) if i in own else _zero() for m, i in DISTINCT.items()})
-        part = tumbling_agg(rows, ["sku_id"], aggs, size)
-        partial = part if partial is None else partial.unionByName(part)
-    total = {m: F.sum(m).cast("bigint").alias(m) for m in COUNTS}
-    total.update({m: F.sum(m).cast(MONEY_SUM).alias(m) for m in AMOUNTS})
-    total.update({m: F.sum(m).cast("bigint").alias(m) for m in DISTINCT})
-    out = partial.groupBy("stt", "edt", "sku_id").agg(
-        F.sum("_rows").alias("_rows"), *total.values()
+        counted = {m: i for m, i in DISTINCT.items() if i in own}
+        if counted:
+            sums = [F.sum(n).alias(n) for n in own if n not in counted.values()]
+            rows = rows.groupBy("_window", "sku_id", *counted.values()).agg(
+                F.count(F.lit(1)).alias("_rows"), *sums
+            )
+            present = {m: F.col(i).isNotNull().cast("bigint") for m, i in counted.items()}
+            rows = rows.withColumns(present).drop(*counted.values())
+        else:
+            rows = rows.withColumn("_rows", F.lit(1).cast("bigint"))
+        union = rows if union is None else union.unionByName(rows, allowMissingColumns=True)
+    kinds = dict.fromkeys([*COUNTS, *DISTINCT], "bigint") | dict.fromkeys(AMOUNTS, MONEY_SUM)
+    present = set(union.columns)
+    sums = [
+        (F.coalesce(F.sum(m), F.lit(0)) if m in present else F.lit(0)).cast(kind).alias(m)
+        for m, kind in kinds.items()
+    ]
+    out = union.groupBy("_window", "sku_id").agg(F.sum("_rows").alias("_rows"), *sums)
+    return _finish(
+        out.select(
+            time_text("_window.start").alias("stt"),
+            time_text("_window.end").alias("edt"),
+            "sku_id",
+            "_rows",
+            *kinds,
+        ),
+        single_row_zero,
     )
-    return _finish(out, single_row_zero)
 
 
 def _stream_measures(feeds, size: str, delay: str, single_row_zero: bool) -> DataFrame:

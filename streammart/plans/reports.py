@@ -147,16 +147,21 @@ def keyword_weight(source: str = "source") -> Column:
     return weight
 
 
-def by_keyword(keyword_stats: DataFrame, date: int | None = None, limit: int = 20) -> DataFrame:
-    """Top keywords: shown with their weighted score, ranked by their plain count."""
-    return (
+def by_keyword(
+    keyword_stats: DataFrame, date: int | None = None, limit: int = 20, plain: bool = False
+) -> DataFrame:
+    """Top keywords: shown with their weighted score, ranked by their plain count.
+
+    ``plain`` adds the count they are ranked by.
+    """
+    top = (
         on_day(keyword_stats, date)
         .groupBy("keyword")
         .agg(
             F.sum(F.col("ct") * keyword_weight()).alias("score"),
-            F.sum("ct").alias("_plain"),
+            F.sum("ct").alias("plain_ct"),
         )
-        .orderBy(F.desc("_plain"), "keyword")
+        .orderBy(F.desc("plain_ct"), "keyword")
         .limit(limit)
-        .select("keyword", F.col("score").alias("ct"))
     )
+    return top.select("keyword", F.col("score").alias("ct"), *(["plain_ct"] if plain else []))

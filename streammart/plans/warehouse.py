@@ -18,7 +18,7 @@ from streammart.operators.skew import hot_keys
 from streammart.operators.visits import daily_unique_visits, detect_bounces, repair_is_new
 from streammart.plans import order_wide as ow
 from streammart.plans import product_stats as ps
-from streammart.plans import reports
+from streammart.plans import charts, reports
 from streammart.plans.keyword_stats import keyword_stats, searches
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats
@@ -119,6 +119,12 @@ class Batch:
         source, build = REPORTS[name]
         return build(read_stats(self.spark, source, f"{self.root}/{source}"), date, **options)
 
+    def chart(self, name: str, date: int | None = None, **options) -> DataFrame:
+        """The same as one JSON document for a chart."""
+        if name == "keyword":
+            options["plain"] = True
+        return charts.chart(name, self.report(name, date, **options))
+
 
 #: report -> (statistics table, function)
 REPORTS = {

@@ -26,7 +26,12 @@ from streammart.plans.order_wide import (
     with_dimensions,
     with_province,
 )
-from streammart.plans.product_stats import product_measures, sources, with_product_dims
+from streammart.plans.product_stats import (
+    order_rows,
+    product_measures,
+    sources,
+    with_product_dims,
+)
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats, visitor_totals
 from streammart.schemas import CODES
@@ -193,9 +198,10 @@ def _hot_orders(spark, sf) -> list[tuple]:
     return hot_keys(roles.table(spark, sf, "lineitem"), ["l_orderkey"])
 
 
-def _wide(spark, sf, **bounds) -> DataFrame:
+def _wide(spark, sf, hot=None, **bounds) -> DataFrame:
+    hot = _hot_orders(spark, sf) if hot is None else hot
     return join_order_lines(
-        roles.orders(spark, sf), roles.details(spark, sf), hot=_hot_orders(spark, sf), **bounds
+        roles.orders(spark, sf), roles.details(spark, sf), hot=hot, **bounds
     )
 
 
@@ -211,12 +217,10 @@ def order_wide_interval(spark, sf):
     )
 
 
-def _paid(spark, sf, **bounds) -> DataFrame:
+def _paid(spark, sf, hot=None, **bounds) -> DataFrame:
+    hot = _hot_orders(spark, sf) if hot is None else hot
     return join_payments(
-        roles.payments(spark, sf),
-        _wide(spark, sf, **bounds),
-        lower="-15 days",
-        hot=_hot_orders(spark, sf),
+        roles.payments(spark, sf), _wide(spark, sf, hot, **bounds), lower="-15 days", hot=hot
     )
 
 
@@ -346,14 +350,15 @@ def visitor_running_totals(spark, sf):
 
 def _product_feeds(spark, sf):
     pages = roles.page_log(spark, sf)
-    wide = _wide(spark, sf, **ANY_TIME)
+    hot = _hot_orders(spark, sf)
+    wide = _wide(spark, sf, hot, **ANY_TIME)
     return sources(
         pages=pages,
         displays=roles.displays(spark, sf),
         favors=roles.product_events(spark, sf, "signup"),
         carts=roles.product_events(spark, sf, "view"),
         order_wide=wide,
-        payment_wide=_paid(spark, sf, **ANY_TIME),
+        payment_wide=_paid(spark, sf, hot, **ANY_TIME),
         refunds=roles.refunds(spark, sf),
         comments=roles.product_events(spark, sf, "error"),
     )
@@ -436,8 +441,8 @@ def report_gmv_empty_day(spark, sf):
 
 def _sales(spark, sf) -> DataFrame:
     """The sales part of the product statistics: order amounts and counts."""
-    feeds = [f for f in _product_feeds(spark, sf) if "order_amount" in f[1]]
-    return with_product_dims(product_measures(feeds, "1 day"), roles.dims(spark, sf))
+    sold = product_measures([order_rows(_wide(spark, sf, **ANY_TIME))], "1 day")
+    return with_product_dims(sold, roles.dims(spark, sf))
 
 
 def report_trademark(spark, sf):

@@ -1,5 +1,7 @@
 """The batch warehouse against the same results computed directly."""
 
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -63,6 +65,8 @@ def test_statistics_and_reports(spark, batch):
     for name, (source, _) in REPORTS.items():
         out = batch.report(name, day if source != "visitor_stats" else queries.VISIT_DAY)
         out.collect()
+        document = json.loads(batch.chart(name, day).first()["chart"])
+        assert document["status"] == 0 and "data" in document
     assert batch.report("hr", queries.VISIT_DAY).count() == 24
     amount = batch.table("province_stats").agg(F.sum("order_amount")).first()[0]
     wide = batch.table("dwm_order_wide").agg(F.sum("split_total_amount")).first()[0]
