@@ -100,53 +100,50 @@ def repair_is_new_stream(
 
 
 class _Unfollowed(StatefulProcessor):
-    """Holds the entries of one stretch until no follow-up can come any more."""
+    """Holds one stretch until no follow-up can come any more.
 
-    def __init__(self, span_ms: int):
-        self.span = span_ms
+    State: one list of marks, entries with their row and follow-ups without.  Of
+    the follow-ups at one moment only the last of a micro-batch is stored.
+    """
+
+    def __init__(self, span_us: int):
+        self.span = span_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.entries = handle.getListState("entries", "at BIGINT, tie BIGINT, row STRING")
-        self.follows = handle.getMapState("follows", "at BIGINT", "tie BIGINT")
-        self.armed = handle.getValueState("armed", "on BOOLEAN")
+        self.marks = handle.getListState("marks", "at BIGINT, tie BIGINT, row STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        arm = not self.armed.exists()
         waiting, latest = [], {}
         for row in rows:
+            at, tie = row["at"], row["tie"]
             if row["entry"]:
-                waiting.append((row["at"], row["tie"], row["row"]))
+                waiting.append((at, tie, row["row"]))
                 if len(waiting) >= 1000:
-                    self.entries.appendList(waiting)
+                    self.marks.appendList(waiting)
                     waiting = []
             else:
-                at = row["at"]
-                latest[at] = max(latest.get(at, row["tie"]), row["tie"])
+                latest[at] = max(latest.get(at, tie), tie)
+        waiting.extend((at, tie, None) for at, tie in latest.items())
         if waiting:
-            self.entries.appendList(waiting)
-        for at, tie in latest.items():
-            old = self.follows.getValue((at,)) if self.follows.containsKey((at,)) else None
-            if old is None or old[0] < tie:
-                self.follows.updateValue((at,), (tie,))
-        if arm:
-            # One past the last moment a follow-up of this stretch can carry.
-            self.handle.registerTimer((key[1] + 2) * self.span // 1000)
-            self.armed.update((True,))
+            self.marks.appendList(waiting)
+        # One past the last moment a follow-up of this stretch can carry.
+        self.handle.registerTimer((key[1] + 2) * self.span // 1000)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ties = {k[0]: v[0] for k, v in self.follows.iterator()}
+        ties = {}
+        for at, tie, row in self.marks.get():
+            if row is None:
+                ties[at] = max(ties.get(at, tie), tie)
         times = sorted(ties)
-        for at, tie, row in self.entries.get():
-            if ties.get(at, tie) > tie:
+        for at, tie, row in self.marks.get():
+            if row is None or ties.get(at, tie) > tie:
                 continue
             i = bisect_right(times, at)
             if i == len(times) or times[i] - at >= self.span:
                 yield Row(row=row)
-        self.entries.clear()
-        self.follows.clear()
-        self.armed.clear()
+        self.marks.clear()
 
     def close(self) -> None:
         pass
