@@ -56,15 +56,16 @@ def hot_keys(
     """The hot keys, each with the number of parts to split it into.
 
     Reads only the key columns, and combines counts before the shuffle.  A table
-    of no more than ``min_rows`` rows has none, which one count settles.  Give a
-    stored table, as the keys are read in a job of their own.
+    of no more than ``min_rows`` rows has none, which one count settles.  A null
+    key can be hot too.  Give a stored table, as the keys are read in a job of
+    their own.
     """
     present = facts.select(*keys)
     total = present.count()
     if total <= min_rows:
         return []
     limit = max(total * share, min_rows)
-    counts = present.dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     found = counts.filter(F.col("_n") > limit).collect()
     return [(*row[:-1], math.ceil(row["_n"] / limit)) for row in found]
 

@@ -90,6 +90,7 @@ def test_left_join_with_hot_and_null_keys(spark):
     )
     dim = spark.createDataFrame([(1, "a"), (450, "b")], "id BIGINT, name STRING")
     hot = hot_keys(facts, ["k"], share=0.01, min_rows=10)
+    assert {k for k, _ in hot} == {1, None}
     out = enrich(facts, dim, {"k": "id"}, {"name": "name"}, small=False, hot=hot)
     assert out.count() == 500
     assert out.filter("name = 'a'").count() == 200
