@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from llm.packing import op10_packing
+from llm.quality import op7_quality
 from llm.sharding import op4_sharding
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (op4_sharding, op7_quality, op10_packing)}
 ORACLES: dict[str, str] = {}
