@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from llm.bpe import op3_bpe
 from llm.lm import op2_lm_scoring
 from llm.packing import op10_packing
 from llm.quality import op7_quality
 from llm.sharding import op4_sharding
 
-QUERIES = {f.__name__: f for f in (op2_lm_scoring, op4_sharding, op7_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_lm_scoring, op3_bpe, op4_sharding, op7_quality, op10_packing)}
 ORACLES: dict[str, str] = {}
