@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from llm.ann import op8_nearest
 from llm.bpe import op3_bpe
 from llm.chat import ORACLE as CHAT_ORACLE
 from llm.chat import op5_chat
@@ -13,5 +14,5 @@ from llm.packing import op10_packing
 from llm.quality import op7_quality
 from llm.sharding import op4_sharding
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe, op4_sharding, op5_chat, op6_near_duplicates, op7_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe, op4_sharding, op5_chat, op6_near_duplicates, op7_quality, op8_nearest, op10_packing)}
 ORACLES: dict[str, str] = {"op1_line_dedup": LINE_ORACLE, "op5_chat": CHAT_ORACLE}
