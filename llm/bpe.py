@@ -25,13 +25,31 @@ from llm.pretokens import ChunkEncoder
 from llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k"
-#: Words of a query; bounds its memory.
-WORDS = 30_000
+#: Words of a query, and what is remembered from one batch to the next; both bound memory only.
+WORDS, KNOWN = 10_000, 300_000
 #: Bytes from which a word's equal pairs are contracted together.
 LONG = 64
 
-# The working table holds the live rows of words that changed; the keyed result keeps one row per position.
-_ROUNDS = """
+#: A word is one list; a round unfolds it into token-position rows, joins them with the merge table, and
+#: contracts the leftmost pair of minimum rank.  ``key`` is that rank * 65536, so one minimum finds rank and place.
+_SHORT = """
+WITH RECURSIVE step AS (
+  SELECT 0::SMALLINT AS round, word, list(tok ORDER BY pos) AS toks FROM start GROUP BY word
+  UNION ALL
+  SELECT s.round + 1, s.word, list_concat(list_append(list_slice(s.toks, 1, p.at - 1), p.merged), list_slice(s.toks, p.at + 2, len(s.toks)))
+  FROM step s JOIN (
+    SELECT word, (min(key) & 65535)::INT AS at, (min(key) >> 16)::INT AS merged FROM (
+      SELECT n.word, m.key + n.pos AS key FROM (
+        SELECT word, unnest(list_slice(toks, 1, len(toks) - 1)) AS tok, unnest(list_slice(toks, 2, len(toks))) AS next_tok, unnest(range(1, len(toks))) AS pos
+        FROM step WHERE len(toks) > 1
+      ) n JOIN merges m ON m.pair = n.tok::BIGINT * 65536 + n.next_tok
+    ) GROUP BY word
+  ) p ON p.word = s.word
+)
+SELECT word, arg_max(toks, round) AS ids FROM step GROUP BY word ORDER BY word
+"""
+#: The same for long words, whose states would add up: rows are kept by position and replaced.
+_LONG = """
 WITH RECURSIVE step(word, pos, tok, round) USING KEY (word, pos) AS (
   SELECT word, pos, tok, 0 FROM start
   UNION
@@ -43,16 +61,7 @@ _NEIGHBOURS = """
 SELECT n.word, n.pos, n.after, n.tok, n.round, m.merged FROM (
   SELECT word, pos, tok, round, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS after
   FROM step WHERE tok >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)
-) n {join} JOIN merges m ON m.l = n.tok AND m.r = n.next_tok
-"""
-#: The leftmost pair of minimum rank, a round.
-_ONE = f"""
-SELECT a.word, a.pos, CASE WHEN a.pos = p.at THEN p.merged WHEN a.pos = p.away THEN -1 ELSE a.tok END, a.round + 1
-FROM step a JOIN (
-  SELECT word, min(merged) AS merged, arg_min(pos, merged::BIGINT * 4294967296 + pos) AS at,
-    arg_min(after, merged::BIGINT * 4294967296 + pos) AS away
-  FROM ({_NEIGHBOURS.format(join="")}) GROUP BY word
-) p ON a.word = p.word WHERE a.tok >= 0
+) n LEFT JOIN merges m ON m.pair = n.tok::BIGINT * 65536 + n.next_tok
 """
 #: All pairs of minimum rank that do not overlap, from the left.  A merged token from which no pair of lower
 #: rank can come (``safe``) leaves the other pairs of its rank next in turn, so the result is the same.
@@ -62,7 +71,7 @@ SELECT word, pos, CASE WHEN hit THEN merged WHEN lag(hit) OVER (PARTITION BY wor
     SELECT *, row_number() OVER (PARTITION BY word, merged = low, island ORDER BY pos) AS in_island FROM (
       SELECT *, place - nth AS island FROM (
         SELECT *, row_number() OVER (PARTITION BY word ORDER BY pos) AS place, row_number() OVER (PARTITION BY word, merged = low ORDER BY pos) AS nth FROM (
-          SELECT *, min(merged) OVER (PARTITION BY word) AS low FROM ({_NEIGHBOURS.format(join="LEFT")})
+          SELECT *, min(merged) OVER (PARTITION BY word) AS low FROM ({_NEIGHBOURS})
         )
       )
     )
@@ -81,18 +90,15 @@ class Tokenizer:
             self.ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         ranks, self.pattern = self.ranks, regex.compile(public_tokenizers.PATTERN)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        words = np.array(list(ranks), object)
-        self.bytes_of = dict(zip(ranks.values(), ranks))
-        self.opens = np.zeros(max(ranks.values()) + 1, bool)
-        self.opens[[r for w, r in ranks.items() if w[:1] == b" "]] = True
         merges = [(ranks[w[:i]], ranks[w[i:]], r) for w, r in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
         unsafe = {part for a, b, r in merges for part in (a, b) if part > r}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": tempfile.gettempdir()})
-        left, right, merged = (pa.array(c, pa.int32()) for c in zip(*merges))
-        self._table("merges", pa.table({"l": left, "r": right, "merged": merged}))
-        self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(words, pa.binary())}))
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": tempfile.gettempdir()})
+        left, right, merged = (np.array(c, np.int64) for c in zip(*merges))
+        self._table("merges", pa.table({"pair": left << 16 | right, "merged": merged.astype(np.int32), "key": merged << 16}))
+        self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "chars": [w.decode("latin-1") for w in ranks]}))
         self._table("safe", pa.table({"id": pa.array(ranks.values(), pa.int32()), "safe": [r not in unsafe for r in ranks.values()]}))
-        self.encode = ChunkEncoder(self._encode_chunks)
+        self.encode = ChunkEncoder(self._encode_chunks, KNOWN // 2)
+        self.words = {}
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("arrow_rows", rows)
@@ -106,12 +112,12 @@ class Tokenizer:
         finally:
             self.db.unregister(name)
 
-    def _merge(self, words: list[bytes], contract: str) -> list[bytes]:
+    def _merge(self, words: list[bytes], sql: str) -> list[bytes]:
         sizes = np.array([len(w) for w in words])
         body = np.frombuffer(b"".join(words), np.uint8)
         pos = np.arange(len(body)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         rows = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": pos.astype(np.int32), "tok": self.byte[body]})
-        lists = self._query("start", rows, _ROUNDS.format(contract=contract))["ids"].combine_chunks()
+        lists = self._query("start", rows, sql)["ids"].combine_chunks()
         ends = 4 * lists.offsets.to_numpy()
         data = lists.values.to_numpy().astype("<u4").tobytes()
         return [data[a:b] for a, b in zip(ends, ends[1:])]
@@ -122,38 +128,34 @@ class Tokenizer:
         found = {}
         for k in range(0, len(short), WORDS):
             part = short[k : k + WORDS]
-            found.update(zip(part, self._merge(part, _ONE)))
+            found.update(zip(part, self._merge(part, _SHORT)))
         for word in words:
             if len(word) >= LONG:
-                found[word] = self._merge([word], _ALL)[0]
+                found[word] = self._merge([word], _LONG.format(contract=_ALL))[0]
         return [found[w] for w in words]
 
     def _encode_chunks(self, texts: list[str]) -> list[bytes]:
         cut = [[w.encode() for w in self.pattern.findall(text)] for text in texts]
-        different = list({w for words in cut for w in words})
-        ids = {w: np.array([self.ranks[w]], "<u4").tobytes() for w in different if w in self.ranks}
-        rest = [w for w in different if w not in ids]
-        if rest:
-            ids.update(zip(rest, self.merge(rest)))
-        return [b"".join(map(ids.__getitem__, words)) for words in cut]
+        if len(self.words) > KNOWN:
+            self.words.clear()
+        known = self.words
+        new = set().union(*cut) - known.keys()
+        known.update((w, np.array([self.ranks[w]], "<u4").tobytes()) for w in new if w in self.ranks)
+        rest = [w for w in new if w not in known]
+        known.update(zip(rest, self.merge(rest)))
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
     def decode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids -> bytes; each different run between tokens that open with a space is aggregated once."""
-        runs = []
-        for ids in texts:
-            cuts = 4 * np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])
-            at = [0, *cuts[cuts > 0].tolist(), len(ids)]
-            runs.append([ids[a:b] for a, b in zip(at, at[1:])])
-        different = list({run for cut in runs for run in cut if run})
-        known = {b"": b""}
-        for k in range(0, len(different), 10 * WORDS):
-            part = different[k : k + 10 * WORDS]
-            sizes = np.array([len(run) // 4 for run in part])
-            ids = np.frombuffer(b"".join(part), "<u4").astype(np.int32)
-            rows = pa.table({"run": np.repeat(np.arange(len(part), dtype=np.int32), sizes), "pos": np.arange(len(ids), dtype=np.int32), "id": ids})
-            sql = "SELECT unhex(string_agg(hex(v.bytes), '' ORDER BY e.pos)) AS bytes FROM encoded e JOIN vocabulary v USING (id) GROUP BY run ORDER BY run"
-            known.update(zip(part, self._query("encoded", rows, sql)["bytes"].to_pylist()))
-        return [b"".join(map(known.__getitem__, cut)) for cut in runs]
+        """Ids of texts -> their bytes; byte b is kept as the character of code point b."""
+        sizes = np.array([len(ids) // 4 for ids in texts], np.int64)
+        ids = np.frombuffer(b"".join(texts), "<u4").astype(np.int32)
+        rows = pa.table({"text": np.repeat(np.arange(len(texts), dtype=np.int32), sizes), "pos": np.arange(len(ids), dtype=np.int32), "id": ids})
+        sql = "SELECT text, string_agg(v.chars, '' ORDER BY e.pos) AS chars FROM encoded e JOIN vocabulary v USING (id) GROUP BY text"
+        found = self._query("encoded", rows, sql)
+        out = [b""] * len(texts)
+        for text, chars in zip(found["text"].to_pylist(), found["chars"].to_pylist()):
+            out[text] = chars.encode("latin-1")
+        return out
 
 
 @cache
@@ -171,7 +173,7 @@ def encode(docs: DataFrame, keys: list[str], text: str = "text", vocabulary: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
-            for first, texts in pieces(batch.column(len(keys)), 16 << 20):
+            for first, texts in pieces(batch.column(len(keys))):
                 ids = tokenizer.encode([t or "" for t in texts.to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(first, len(texts)) for k in range(len(keys))] + [pa.array(ids, pa.binary())], names=schema.names)
 
@@ -185,8 +187,8 @@ def decode(encoded: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2_000):
-                part = batch.slice(start, 2_000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 given = part.column(schema.names.index(ids)).to_pylist()
                 texts = tokenizer.decode([x or b"" for x in given])
                 made = pa.array([None if x is None else t for x, t in zip(given, texts)], pa.binary())

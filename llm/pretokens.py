@@ -10,13 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-_NOT_PLAIN = re.compile(r"\s | \s|\A | \Z")
+_SPACE_BEFORE, _SPACE_AFTER = re.compile(r" \s"), re.compile(r" (?<=\s )")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def chunks(text: str) -> list[str]:
     """The chunks of a text; all but the first stand for a space and the chunk."""
-    return _CUT.split(text) if _NOT_PLAIN.search(text) else text.split(" ")
+    odd = text[:1] == " " or text[-1:] == " " or _SPACE_BEFORE.search(text) or _SPACE_AFTER.search(text)
+    return _CUT.split(text) if odd else text.split(" ")
 
 
 class ChunkEncoder:
@@ -33,7 +34,7 @@ class ChunkEncoder:
         firsts = self.encode([parts[0] for parts in cut])
         if len(self.known) > self.most:
             self.known.clear()
-        new = {c for parts in cut for c in parts[1:] if c not in self.known}
+        new = set().union(*[parts[1:] for parts in cut]) - self.known.keys()
         if new:
             new = list(new)
             self.known.update(zip(new, self.encode([" " + c for c in new])))
