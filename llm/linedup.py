@@ -23,7 +23,7 @@ from llm.tables import stored, table
 
 MIN_WORDS = 50
 #: Words as in ``[^\x20\x09-\x0D]+``.
-_WORD = "[^\\x20\\x09-\\x0D]+"
+WORD = "[^\\x20\\x09-\\x0D]+"
 _DOC = ["k", "h"]
 
 
@@ -37,9 +37,9 @@ def _sequence(docs: DataFrame, key: str, text: str) -> DataFrame:
     """k, h (hash of the text), i (0, 1, ... over lines with a word), line (its place in the text), words, id_1, id_2."""
     split = F.split(F.col(text), "\n", -1)
     line = F.transform(split, lambda x, n: F.struct(n.cast("int").alias("line"), x.alias("x")))
-    worded = F.filter(line, lambda s: s["x"].rlike(_WORD))
+    worded = F.filter(line, lambda s: s["x"].rlike(WORD))
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.posexplode(worded).alias("i", "s")).select("k", "h", "i", "s.line", "s.x")
-    words = F.regexp_count("x", F.lit(_WORD))
+    words = F.regexp_count("x", F.lit(WORD))
     # Rows of equal key and text are one document.
     ids = rows.select("k", "h", "i", "line", words.alias("words"), F.xxhash64("x").alias("id_1"), F.xxhash64(F.lit(1), "x").alias("id_2"))
     return ids.dropDuplicates(["k", "h", "i"])

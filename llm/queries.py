@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from llm.ann import op8_nearest
 from llm.bpe import op3_bpe
 from llm.chat import ORACLE as CHAT_ORACLE
@@ -15,4 +16,7 @@ from llm.quality import op7_quality
 from llm.sharding import op4_sharding
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe, op4_sharding, op5_chat, op6_near_duplicates, op7_quality, op8_nearest, op10_packing)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op1_line_dedup": LINE_ORACLE, "op5_chat": CHAT_ORACLE}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
