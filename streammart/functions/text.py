@@ -1,83 +1,78 @@
-"""Splitting search text into words."""
+"""Splitting search text into words.
+
+One rule, for any dictionary: read the lower-cased text from left to right; where a dictionary
+entry stands, the longest one is a word; else a run of letters, digits and combining marks of any
+script but Han is a word; else a Han character is a word; anything else separates.  An entry never
+begins or ends inside a run, so ``c`` does not match in ``cat``, while ``c++`` or ``t恤`` match.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A run of Latin letters and digits is one word; without a dictionary every
-#: CJK ideograph is a word of its own.
-WORD_PATTERN = "[a-z0-9]+|[\\u3400-\\u4dbf\\u4e00-\\u9fff]"
+#: A character of a run, for Java's regular expressions and for Python's.
+_RUN_JVM = r"[\p{L}\p{N}\p{M}&&[^\p{IsHan}]]"
+_RUN = r"[[\p{L}\p{N}\p{M}]--\p{Han}]"
+WORD_PATTERN = _RUN_JVM + r"+|\p{IsHan}"
+
 
-# A dictionary of up to this many words fits one regular expression.
-_MAX_PATTERN_WORDS = 500
+def _entries(dictionary: Iterable[str]) -> list[str]:
+    return sorted({w.lower() for w in dictionary if w}, key=lambda w: (-len(w), w))
 
 
 def words(text: Column | str, dictionary: Iterable[str] = ()) -> Column:
-    """The words of a text as an array, in order, duplicates kept.
+    """The words of a text as an array, in order, duplicates kept; null for a null text.
 
-    Ideographs are matched against the dictionary, longest word first, from left
-    to right.  A small dictionary becomes one regular expression that stays in
-    the JVM; a large one runs as a vectorised function.
+    Without a dictionary this stays in the JVM; with one it is a vectorised function, the same for
+    every size of the dictionary.
     """
     column = F.col(text) if isinstance(text, str) else text
-    entries = sorted({w.lower() for w in dictionary if w}, key=lambda w: (-len(w), w))
-    if len(entries) <= _MAX_PATTERN_WORDS:
-        pattern = "|".join([*(_quoted(w) for w in entries), WORD_PATTERN])
-        return F.regexp_extract_all(F.lower(column), F.lit(f"({pattern})"), F.lit(1))
-    return _dictionary_words(entries)(F.lower(column))
-
-
-def _quoted(word: str) -> str:
-    """A dictionary word; a Latin one only matches as a whole run."""
-    escaped = "".join("\\" + c if c in r"\.[]{}()*+-?^$|#&~" else c for c in word)
-    if word.isascii() and word.isalnum():
-        return f"(?<![a-z0-9]){escaped}(?![a-z0-9])"
-    return escaped
-
-
-def longest_matches(text: str, entries: frozenset[str], longest: int) -> Iterator[str]:
-    """Left-to-right longest match of one lower-cased text."""
-    at, end = 0, len(text)
-    while at < end:
-        if _latin(text[at]):
-            stop = at
-            while stop < end and _latin(text[stop]):
-                stop += 1
-            yield text[at:stop]
-            at = stop
-            continue
-        for size in range(min(longest, end - at), 0, -1):
-            if text[at : at + size] in entries:
-                yield text[at : at + size]
-                at += size
-                break
-        else:
-            if _ideograph(text[at]):
-                yield text[at]
-            at += 1
-
-
-def _latin(char: str) -> bool:
-    return "a" <= char <= "z" or "0" <= char <= "9"
-
-
-def _ideograph(char: str) -> bool:
-    return "㐀" <= char <= "䶿" or "一" <= char <= "鿿"
+    entries = _entries(dictionary)
+    if entries:
+        return _dictionary_words(entries)(F.lower(column))
+    return F.regexp_extract_all(F.lower(column), F.lit(f"({WORD_PATTERN})"), F.lit(1))
+
+
+def _compiled(entries: list[str]):
+    """Entries by their first character, so a long dictionary costs no more per character than a short one."""
+    by_first: dict[str, list[str]] = {}
+    for entry in entries:
+        by_first.setdefault(entry[0], []).append(entry)
+    run = regex.compile(_RUN + "+", regex.V1)
+    one_run = regex.compile(_RUN, regex.V1)
+    han = regex.compile(r"\p{Han}", regex.V1)
+    inside = lambda text, at: 0 < at < len(text) and one_run.match(text[at - 1]) and one_run.match(text[at])
+
+    def split(text: str) -> list[str]:
+        found, at = [], 0
+        while at < len(text):
+            word = next(
+                (e for e in by_first.get(text[at], ()) if text.startswith(e, at) and not inside(text, at + len(e))), None
+            )
+            if word is None:
+                match = run.match(text, at) or han.match(text, at)
+                word = match.group() if match else None
+            if word is None:
+                at += 1
+            else:
+                found.append(word)
+                at += len(word)
+        return found
 
+    return split
 
-def _dictionary_words(entries: list[str]):
-    known, longest = frozenset(entries), len(entries[0])
 
+def _dictionary_words(entries: list[str]):
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else list(longest_matches(t, known, longest))
-        )
+        cut = _compiled(entries)
+        return texts.map(lambda t: None if t is None else cut(t))
 
     return split
 
@@ -85,24 +80,14 @@ def _dictionary_words(entries: list[str]):
 def register_word_table(
     spark: SparkSession, name: str = "ik_analyze", dictionary: Iterable[str] = ()
 ) -> None:
-    """Register a table function for ``LATERAL name(text)`` in SQL.
-
-    Without a dictionary this is a SQL function, expanded by the optimizer and
-    run in the JVM.  With one, it is a Python table function.
-    """
-    entries = sorted({w.lower() for w in dictionary if w}, key=lambda w: (-len(w), w))
-    if not entries:
-        pattern = f"({WORD_PATTERN})".replace("\\", "\\\\")
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING) RETURNS TABLE(word STRING) "
-            f"RETURN SELECT explode(regexp_extract_all(lower(txt), '{pattern}', 1))"
-        )
-        return
-    known, longest = frozenset(entries), len(entries[0])
-
-    class Words:
-        def eval(self, text: str):
-            for word in longest_matches((text or "").lower(), known, longest):
-                yield (word,)
-
-    spark.udtf.register(name, F.udtf(Words, returnType="word string"))
+    """Register a table function for ``LATERAL name(text)`` in SQL, with the words of ``words()``."""
+    entries = _entries(dictionary)
+    pattern = f"({WORD_PATTERN})".replace("\\", "\\\\")
+    found = f"regexp_extract_all(lower(txt), '{pattern}', 1)"
+    if entries:
+        spark.udf.register(f"{name}_words", _dictionary_words(entries))
+        found = f"{name}_words(lower(txt))"
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING) RETURNS TABLE(word STRING) "
+        f"RETURN SELECT explode({found})"
+    )

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A chart holds at most this many points; a larger report is an error.
-MAX_POINTS = 10_000
-
 
 def _listed(report: DataFrame, order_by: list[Column], *columns: Column) -> DataFrame:
     """The report's rows as one ordered array ``_rows``.
 
-    Reads at most one row more than allowed, and fails then: nothing is cut off
-    silently and no unbounded table reaches the single task.
+    For reports that their own limit or shape bounds (a ranking, 24 hours, 5 measures): they are
+    one document.  ``as_rows`` writes reports of any size.
     """
     keys = [c.alias(f"key_{i}") for i, c in enumerate(order_by)]
     row = F.struct(F.struct(*keys).alias("order"), F.struct(*columns).alias("row"))
-    rows = F.when(
-        F.count(F.lit(1)) > MAX_POINTS, F.raise_error(F.lit("too many rows for a chart"))
-    ).otherwise(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"]))
-    return report.orderBy(*order_by).limit(MAX_POINTS + 1).agg(rows.alias("_rows"))
+    rows = F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"])
+    return report.agg(rows.alias("_rows"))
+
+
+def as_rows(report: DataFrame, name: str, value: str) -> DataFrame:
+    """``name``, ``value`` of each row, largest value first, as a table of any size."""
+    rows = report.select(F.col(name).alias("name"), F.col(value).alias("value"))
+    return rows.orderBy(-F.col("value"), "name")
 
 
 def _document(data: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from streammart.schemas import RULES, STATS
+from streammart.schemas import CODES, RULES, STATS
 
 
 def jdbc_options(url: str, table: str, **more: str) -> dict[str, str]:
@@ -108,3 +108,9 @@ def ingest_lines(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def code_table(spark: SparkSession) -> DataFrame:
+    """``code_group``, ``code``, ``label`` of every business code."""
+    rows = [(group, code, label) for group, codes in CODES.items() for code, label in codes.items()]
+    return spark.createDataFrame(rows, "code_group STRING, code STRING, label STRING")

@@ -368,9 +368,14 @@ SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {_bucket('ts', _DAY_US)} AS
 FROM (SELECT unnest(string_split(p_name, ' ')) AS keyword, l_shipdate AS ts
       FROM lineitem JOIN part ON l_partkey = p_partkey)
 GROUP BY ALL""",
-    "keyword_table_function": """
+    # Whatever is no letter, digit or mark becomes a space, and the rest is cut at spaces.
+    "keyword_table_function": r"""
 SELECT lang, keyword, count(*) AS ct
-FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword FROM documents)
+FROM (SELECT lang, unnest(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}]', ' ', 'g'), ' ')) AS keyword FROM documents)
+WHERE keyword <> '' GROUP BY ALL""",
+    "keyword_dictionary": r"""
+SELECT lang, keyword, count(*) AS ct
+FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '\b(cc by-nc 4\.0|apache license|mit license|version 3)\b')) AS keyword FROM documents)
 GROUP BY ALL""",
     "tumble_sql": f"""
 SELECT {_bucket('ts', 2 * _HOUR_US)} AS stt, {_bucket('ts', 2 * _HOUR_US, 1)} AS edt, event_type,
@@ -435,6 +440,37 @@ SELECT '{{"status":0,"data":{{"categories":["' || string_agg(hr, '","' ORDER BY
 FROM dense""",
 }
 
+
+
+def _top_chart(keys: str, name: str, document: str, more: str = "") -> str:
+    return f"""{_SALES},
+top AS (
+  SELECT {keys}, {name} AS n, CAST(sum(total_amount) AS DECIMAL(26,2)) AS v{more} FROM sales GROUP BY {keys}
+  HAVING sum(total_amount) > 0 ORDER BY sum(total_amount) DESC, {keys} LIMIT 10)
+SELECT '{{"status":0,"data":' || {document} || '}}' AS chart FROM top"""
+
+
+ORACLES["report_chart_trademark"] = _top_chart(
+    "tm_id, tm_name",
+    "tm_name",
+    """'{"categories":[' || string_agg('"' || n || '"', ',' ORDER BY v DESC, n) ||
+  '],"series":[{"name":"order_amount","data":[' || string_agg(v, ',' ORDER BY v DESC, n) || ']}]}'""",
+)
+ORACLES["report_chart_category3"] = _top_chart(
+    "category3_id, category3_name",
+    "category3_name",
+    """'[' || string_agg('{"name":"' || n || '","value":' || v || '}', ',' ORDER BY v DESC, n) || ']'""",
+)
+ORACLES["report_chart_spu"] = _top_chart(
+    "spu_id, spu_name",
+    "spu_name",
+    """'{"columns":[{"name":"SPU","id":"spu_name"},{"name":"amount","id":"order_amount"},{"name":"orders","id":"order_ct"}],"rows":[' ||
+  string_agg('{"spu_name":"' || n || '","order_amount":' || v || ',"order_ct":' || ct || '}', ',' ORDER BY v DESC, n) || ']}'""",
+    ", count(DISTINCT order_id || '/' || sku_id) AS ct",
+)
+ORACLES["report_chart_gmv"] = f"""{_SALES}
+SELECT '{{"status":0,"data":' || COALESCE(CAST(sum(total_amount) AS DECIMAL(26,2)), 0) || '}}' AS chart FROM sales"""
+
 # The streaming forms give what the batch forms give.
 ORACLES.update(
     {

@@ -34,7 +34,7 @@ from streammart.plans.product_stats import (
 )
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats, visitor_totals
-from streammart.schemas import CODES
+from streammart.sources.tables import code_table
 from streammart.workload import roles
 
 #: Durations widened to the test data, whose rows are minutes to years apart.
@@ -118,11 +118,13 @@ def dim_upsert_latest(spark, sf):
 
 
 def code_labels(spark, sf):
-    """Payments and comments with the labels of their codes."""
-    label = F.create_map(*[F.lit(x) for pair in CODES["appraise"].items() for x in pair])
-    comments = roles.product_events(spark, sf, "error")
-    named = F.element_at(label, F.col("appraise")).alias("label")
-    return comments.groupBy("appraise", named).agg(F.count(F.lit(1)).alias("n"))
+    """Comments with the labels of their codes, from the table of all groups of codes."""
+    codes = code_table(spark)
+    comments = roles.product_events(spark, sf, "error").select("appraise")
+    named = comments.join(
+        F.broadcast(codes.where("code_group = 'appraise'")), F.col("appraise") == F.col("code"), "left"
+    )
+    return named.groupBy("appraise", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- click log -----------------------------------------------------------------
@@ -417,6 +419,19 @@ def keyword_table_function(spark, sf):
     )
 
 
+def keyword_dictionary(spark, sf):
+    """Dictionary words with blanks and punctuation, through the SQL table function."""
+    entries = ["cc by-nc 4.0", "apache license", "mit license", "version 3"]
+    register_word_table(spark, "ik_dictionary", entries)
+    docs = roles.table(spark, sf, "documents").select("lang", "text")
+    found = spark.sql(
+        "SELECT lang, word AS keyword, count(*) AS ct "
+        "FROM {docs}, LATERAL ik_dictionary(text) GROUP BY lang, word",
+        docs=docs,
+    )
+    return found.where(F.col("keyword").isin(entries))
+
+
 def tumble_sql(spark, sf):
     """A tumbling aggregate written in SQL."""
     return spark.sql(
@@ -508,8 +523,19 @@ def report_chart_json(spark, sf):
 
 
 def report_chart_trademark(spark, sf):
-    top = reports.by_trademark(_sales(spark, sf), ORDER_DAY)
-    return charts.name_values(top, "tm_name", "order_amount")
+    return charts.chart("trademark", reports.by_trademark(_sales(spark, sf), ORDER_DAY))
+
+
+def report_chart_spu(spark, sf):
+    return charts.chart("spu", reports.by_spu(_sales(spark, sf), ORDER_DAY))
+
+
+def report_chart_category3(spark, sf):
+    return charts.chart("category3", reports.by_category3(_sales(spark, sf), ORDER_DAY))
+
+
+def report_chart_gmv(spark, sf):
+    return charts.chart("gmv", reports.gmv(_sales(spark, sf), ORDER_DAY))
 
 
 QUERIES: dict[str, Query] = {
@@ -548,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "province_distinct_orders": province_distinct_orders,
     "keyword_stats": keyword_stats_day,
     "keyword_table_function": keyword_table_function,
+    "keyword_dictionary": keyword_dictionary,
     "tumble_sql": tumble_sql,
     "report_gmv": report_gmv,
     "report_gmv_empty_day": report_gmv_empty_day,
@@ -563,4 +590,7 @@ QUERIES: dict[str, Query] = {
     "report_keyword_weighted": report_keyword_weighted,
     "report_chart_json": report_chart_json,
     "report_chart_trademark": report_chart_trademark,
+    "report_chart_spu": report_chart_spu,
+    "report_chart_category3": report_chart_category3,
+    "report_chart_gmv": report_chart_gmv,
 }

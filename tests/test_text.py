@@ -1,11 +1,15 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from streammart.functions import text
 from streammart.functions.text import register_word_table, words
 
-TEXTS = [(1, "Red plate, RED-7"), (2, ""), (3, "实时数仓项目 v2"), (4, None), (5, "sparks数仓")]
-DICTIONARY = ["数仓", "实时", "实时数仓", "spark"]
+TEXTS = [
+    (1, "Red plate, RED-7"), (2, ""), (3, "实时数仓项目 v2"), (4, None), (5, "sparks数仓"),
+    (6, "Été à Zürich, naïve ÇA"), (7, "红色T恤 C++ 卡拉OK wi-fi"), (8, "かな 한글 é"),
+]
+DICTIONARY = ["数仓", "实时", "实时数仓", "spark", "t恤", "c++", "卡拉ok", "wi-fi", "c"]
+MORE = [f"unrelated{i}" for i in range(600)] + [f"词{i}" for i in range(600)]
 
 
 def split(spark, dictionary=()):
@@ -18,29 +22,31 @@ def test_without_dictionary(spark):
     assert out[1] == ["red", "plate", "red", "7"]
     assert out[2] == [] and out[4] is None
     assert out[3] == ["实", "时", "数", "仓", "项", "目", "v2"]
+    assert out[6] == ["été", "à", "zürich", "naïve", "ça"]
+    assert out[8] == ["かな", "한글", "é"]
 
 
 def test_longest_dictionary_word_first(spark):
     out = split(spark, DICTIONARY)
     assert out[3] == ["实时数仓", "项", "目", "v2"]
     assert out[5] == ["sparks", "数仓"]
+    assert out[7] == ["红", "色", "t恤", "c++", "卡拉ok", "wi-fi"]
 
 
-def test_large_dictionary_gives_the_same(spark, monkeypatch):
-    small = split(spark, DICTIONARY)
-    monkeypatch.setattr(text, "_MAX_PATTERN_WORDS", 1)
-    assert split(spark, DICTIONARY) == small
+def test_size_of_the_dictionary_changes_nothing(spark):
+    assert split(spark, DICTIONARY + MORE) == split(spark, DICTIONARY)
+    assert split(spark, MORE) == split(spark)
 
 
-def test_table_function_in_sql(spark):
+@pytest.mark.parametrize("dictionary", [(), DICTIONARY, DICTIONARY + MORE])
+def test_table_function_in_sql_gives_the_same(spark, dictionary):
     df = spark.createDataFrame(TEXTS, "n INT, s STRING")
-    register_word_table(spark, "ik_analyze")
-    out = spark.sql("SELECT n, word FROM {df}, LATERAL ik_analyze(s) WHERE n < 3", df=df)
-    assert rows(out) == [(1, "7"), (1, "plate"), (1, "red"), (1, "red")]
-    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
-    register_word_table(spark, "split_words", DICTIONARY)
-    out = spark.sql("SELECT word FROM {df}, LATERAL split_words(s) WHERE n = 5", df=df)
-    assert rows(out) == [("sparks",), ("数仓",)]
+    register_word_table(spark, "split_words", dictionary)
+    out = spark.sql("SELECT n, word FROM {df}, LATERAL split_words(s)", df=df)
+    if not dictionary:
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    expected = df.select("n", F.explode(words("s", dictionary)).alias("word"))
+    assert rows(out) == rows(expected)
 
 
 def test_documents_are_read_whole(spark):
