@@ -40,7 +40,7 @@ def today_number() -> int:
 
 def age_years(birthday: Column | str, as_of: Column) -> Column:
     """Whole 365-day years between a ``yyyy-MM-dd`` birthday and ``as_of``."""
-    born = F.unix_millis(F.to_timestamp(_col(birthday), "yyyy-MM-dd"))
+    born = F.unix_millis(F.try_to_timestamp(_col(birthday), F.lit("yyyy-MM-dd")))
     return F.call_function("div", F.unix_millis(as_of) - born, F.lit(YEAR_MS)).cast("int")
 
 

@@ -33,14 +33,14 @@ def repair_is_new(
 ) -> DataFrame:
     """Let only a visitor's first ``'1'`` row stay ``'1'``; the rest become ``'0'``.
 
-    Rows with any other flag are neither changed nor counted.  ``order_by`` must
+    Rows with any other flag, or without a visitor, are neither changed nor counted.  ``order_by`` must
     tell any two rows of a visitor apart (time plus an id or topic position).
 
     The first row per visitor is found on the narrow key columns and joined back
     on visitor *and* position, a key no two rows share, so the wide rows of one
     visitor are spread over all tasks.
     """
-    claims = F.col(flag) == "1"
+    claims = (F.col(flag) == "1") & F.col(mid).isNotNull()
     new = log.filter(claims)
     firsts = first_per_key(new.select(mid, *order_by), [mid], order_by)
     keys = [mid, *order_by]
@@ -64,8 +64,8 @@ def daily_unique_visits(
     event_time: str = "event_time",
     last_page_id: str = "last_page_id",
 ) -> DataFrame:
-    """The first entry row of every visitor on every day."""
-    entries = log.filter(is_entry(last_page_id)).withColumn("visit_date", visit_date(event_time))
+    """The first entry row of every visitor on every day; rows without a visitor are none."""
+    entries = log.filter(is_entry(last_page_id) & F.col(mid).isNotNull()).withColumn("visit_date", visit_date(event_time))
     return first_per_key(entries, [mid, "visit_date"], [event_time, *tiebreak])
 
 
@@ -81,7 +81,7 @@ def detect_bounces(
 
     A follow-up counts when it comes later (by time, then ``tiebreak``) and less
     than ``within`` after the entry; exactly ``within`` is too late.  Entry rows
-    in between change nothing.
+    in between change nothing.  Rows without a visitor are left out.
 
     The log is first reduced to one mark per visitor and timestamp.  Marks are
     cut into stretches of ``within``; a stretch also sees the follow-ups of the
@@ -89,6 +89,7 @@ def detect_bounces(
     never holds more marks than two stretches have distinct timestamps.
     """
     span = seconds(within) * 1_000_000
+    log = log.filter(F.col(mid).isNotNull())
     at = F.unix_micros(F.col(event_time).cast("timestamp"))
     entry = is_entry(last_page_id)
     marks = (

@@ -35,17 +35,17 @@ class Dims:
         dimensions, so that facts are joined once instead of four times.
         """
         sku = self.sku.select(
-            F.col("id").cast("bigint").alias("id"),
+            F.col("id").try_cast("bigint").alias("id"),
             F.col("sku_name"),
             F.col("price").cast(MONEY).alias("sku_price"),
-            *[F.col(c).cast("bigint").alias(c) for c in ("spu_id", "tm_id", "category3_id")],
+            *[F.col(c).try_cast("bigint").alias(c) for c in ("spu_id", "tm_id", "category3_id")],
         )
         for key, dim, name in (
             ("spu_id", self.spu, F.col("spu_name")),
             ("tm_id", self.trademark, F.col("tm_name")),
             ("category3_id", self.category3, F.col("name").alias("category3_name")),
         ):
-            named = dim.select(F.col("id").cast("bigint").alias("_id"), name)
+            named = dim.select(F.col("id").try_cast("bigint").alias("_id"), name)
             sku = sku.join(named, F.col(key) == F.col("_id"), "left").drop("_id")
         return sku
 
@@ -100,7 +100,7 @@ def with_user(
 ) -> DataFrame:
     """Fill age and gender.  ``as_of`` is the moment ages refer to, now by default."""
     person = user.select(
-        F.col("id").cast("bigint").alias("id"),
+        F.col("id").try_cast("bigint").alias("id"),
         age_years("birthday", F.current_timestamp() if as_of is None else as_of).alias("age"),
         "gender",
     )
@@ -110,7 +110,7 @@ def with_user(
 
 def with_province(wide: DataFrame, province: DataFrame, small: bool | None = None) -> DataFrame:
     """Fill the province's name and codes."""
-    place = province.withColumn("id", F.col("id").cast("bigint"))
+    place = province.withColumn("id", F.col("id").try_cast("bigint"))
     names = {
         "name": "province_name",
         "area_code": "province_area_code",

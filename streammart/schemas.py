@@ -45,7 +45,7 @@ APP_LOG = T.StructType(
 CHANGE = _struct(database="text", table="text", type="text", ts="long", data="row")
 
 #: One record of a database log reader, before it is flattened.
-FEED_RECORD = _struct(op="text", before="row", after="row")
+FEED_RECORD = _struct(op="text", before="row", after="row", ts_ms="long")
 
 RULES = _struct(
     source_table="text", operate_type="text", sink_type="text", sink_table="text",

@@ -33,6 +33,9 @@ def build_session(app: str = "streammart", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_private: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -41,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="streammart-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _private.setdefault(app, "") or tempfile.mkdtemp(prefix="streammart-")
+        _private[app] = named
     return named.rstrip("/")

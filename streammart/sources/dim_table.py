@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from streammart.operators.latest import last_per_key
 from streammart.schemas import RULES
 
+#: Name of the column that lists the columns a change sets.
+SET_COLUMNS = "_set_columns"
 _VERSIONS = "version BIGINT, batch BIGINT, folder STRING"
 
 
@@ -65,9 +66,11 @@ class DimTable:
             self._commit(spark, spark.createDataFrame([], self.schema), 0, -1)
 
     def upsert(self, changes: DataFrame, order_by: list[str], batch: int) -> None:
-        """Set the rows of all changed keys to their last change.
+        """Bring the rows of all changed keys up to date; a batch without changes writes nothing.
 
-        ``changes`` holds the table's columns and those of ``order_by``.
+        ``changes`` holds the table's columns and those of ``order_by``.  With a column
+        ``SET_COLUMNS``, an array of names, a change sets those columns only (to null as well), and
+        the others keep what earlier changes or the table have; without it, it sets all.
         """
         spark = changes.sparkSession
         last = self._last(spark)
@@ -75,12 +78,33 @@ class DimTable:
             return
         names = self.schema.fieldNames()
         rows = changes.filter(F.col(self.key).isNotNull())
-        newest = last_per_key(rows, [self.key], order_by).select(
-            *[F.col(n).cast("string").alias(n) for n in names]
+        if rows.isEmpty():
+            return
+        order = F.struct(*order_by)
+        others = [n for n in names if n != self.key]
+        partial = SET_COLUMNS in rows.columns
+        sets = lambda n: F.array_contains(SET_COLUMNS, n) if partial else F.lit(True)
+        # The last value of each column, wrapped to tell a null that was set from none.
+        last_set = [
+            F.max_by(F.struct(F.col(n).cast("string").alias("v")), F.when(sets(n), order)).alias(n)
+            for n in others
+        ]
+        changed = rows.groupBy(F.col(self.key).cast("string").alias(self.key)).agg(
+            F.lit(True).alias("_changed"), *last_set
+        )
+        old, new = self.read(spark).alias("old"), changed.alias("new")
+        merged = old.join(new, self.key, "full").select(
+            *[
+                F.col(n)
+                if n == self.key
+                else F.when(F.col(f"new.{n}").isNotNull(), F.col(f"new.{n}")["v"])
+                .otherwise(F.col(f"old.{n}"))
+                .alias(n)
+                for n in names
+            ]
         )
-        kept = self.read(spark).join(newest.select(self.key), self.key, "left_anti")
         version = 0 if last is None else last["version"] + 1
-        self._commit(spark, kept.select(*names).unionByName(newest), version, batch)
+        self._commit(spark, merged, version, batch)
 
     def _commit(self, spark: SparkSession, rows: DataFrame, version: int, batch: int) -> None:
         folder = f"v={version}"
@@ -93,27 +117,26 @@ def dims_of_rules(rules: DataFrame, root: str) -> dict[str, DimTable]:
     """The dimension tables the rules ask for, by name.
 
     Rules are configuration, one per source table and operation, so their list
-    is read to the driver; more of them than any database has tables is an error.
+    is read to the driver.  A table that several rules feed has the columns of all.
     """
     wanted = (
         rules.filter("sink_type = 'hbase'")
         .select(*RULES.fieldNames())
         .groupBy("sink_table")
         .agg(
-            F.max_by("sink_columns", F.length("sink_columns")).alias("sink_columns"),
+            F.array_join(
+                F.array_distinct(
+                    F.flatten(F.array_sort(F.collect_list(F.split("sink_columns", r"\s*,\s*"))))
+                ),
+                ",",
+            ).alias("sink_columns"),
             F.max("sink_pk").alias("sink_pk"),
         )
-        .limit(_MAX_TABLES + 1)
         .collect()
     )
-    if len(wanted) > _MAX_TABLES:
-        raise ValueError("more dimension tables than expected")
     return {
         r["sink_table"]: DimTable(
             f"{root}/{r['sink_table']}", dim_schema(r["sink_columns"], r["sink_pk"])
         )
         for r in wanted
     }
-
-
-_MAX_TABLES = 10_000

@@ -7,12 +7,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from streammart.functions.jsons import typed
-from streammart.session import shared_dir
 
 #: Every topic read has these columns.  The last two are the record's unique
 #: position, which orders records of equal time and never changes on a re-read.
+#: Numbers in the text of ``src_partition`` (Kafka's partition, a folder's batch) are
+#: padded, so text order is their order.
 COLUMNS = ("value", "topic", "src_partition", "src_offset")
 
 
@@ -59,14 +61,21 @@ class Topics:
             return records.select(
                 F.col("value").cast("string").alias("value"),
                 "topic",
-                F.col("partition").cast("string").alias("src_partition"),
+                F.lpad(F.col("partition").cast("string"), 10, "0").alias("src_partition"),
                 F.col("offset").alias("src_offset"),
             )
-        records = reader.schema("value STRING").parquet(self.folder(topic))
+        try:
+            records = reader.schema("value STRING").parquet(self.folder(topic))
+        except AnalysisException:
+            # A job may start before the one that feeds it has written anything.
+            spark.createDataFrame([], "value STRING").write.mode("append").parquet(self.folder(topic))
+            records = reader.schema("value STRING").parquet(self.folder(topic))
+        path = F.col("_metadata.file_path")
+        batch = F.lpad(F.regexp_extract(path, r"/batch=(\d+)/", 1), 19, "0")
         return records.select(
             "value",
             F.lit(topic).alias("topic"),
-            F.col("_metadata.file_path").alias("src_partition"),
+            F.concat_ws("/", batch, path).alias("src_partition"),
             F.col("_metadata.row_index").alias("src_offset"),
         )
 
@@ -130,4 +139,8 @@ class Topics:
         )
 
     def checkpoint(self, spark: SparkSession, job: str) -> str:
-        return f"{self.checkpoints or shared_dir(spark) + '/streammart'}/{job}"
+        """The job's checkpoint, which has to outlive this process: a root must be named."""
+        root = self.checkpoints or spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise ValueError(f"{job}: name a checkpoint root (Topics.checkpoints or spark.checkpoint.dir)")
+        return f"{root.rstrip('/')}/{'' if self.checkpoints else 'streammart/'}{job}"

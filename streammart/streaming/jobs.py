@@ -19,7 +19,7 @@ from streammart.plans import order_wide as ow
 from streammart.plans import product_stats as ps
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats
-from streammart.sources.dim_table import dims_of_rules
+from streammart.sources.dim_table import SET_COLUMNS, dims_of_rules
 from streammart.sources.tables import stats_sink
 from streammart.sources.topics import Topics
 from streammart.streaming.visits import (
@@ -65,11 +65,14 @@ class Warehouse:
 
 
 def rules_from_feed(topics: Topics, topic: str) -> Callable[[SparkSession], DataFrame]:
-    """Rules as the change feed of their table leaves them (the feed is small)."""
+    """Rules as the change feed of their table leaves them (the feed is small).
+
+    The last change is the one of the latest change time, then of the last position.
+    """
 
     def read(spark: SparkSession) -> DataFrame:
         feed = topics.read(spark, topic, streaming=False)
-        return ch.latest_rules(ch.flatten_feed(feed), ["src_partition", "src_offset"])
+        return ch.latest_rules(ch.flatten_feed(feed), ["ts_ms", "src_partition", "src_offset"])
 
     return read
 
@@ -110,6 +113,12 @@ def db_base(
         good, dirty = split_dirty(ch.parse_changes(batch))
         routed = ch.route_changes(ch.normalise_type(ch.with_data(good)), rules)
         routed.persist()
+        try:
+            deliver(spark, routed, rules, dirty, batch_id)
+        finally:
+            routed.unpersist()
+
+    def deliver(spark, routed: DataFrame, rules: DataFrame, dirty: DataFrame, batch_id: int) -> None:
         to_topics, to_dims, unrouted = ch.split_routes(routed)
         outgoing = (
             to_topics.select(F.col("sink_table").alias("topic"), F.col("data").alias("value"))
@@ -119,11 +128,10 @@ def db_base(
         wh.topics.put(outgoing, "db_base", batch_id)
         for name, dim in dims_of_rules(rules, wh.dim_root).items():
             dim.create(spark)
-            rows = ch.typed_data(
-                to_dims.filter(F.col("sink_table") == name), dim.schema, keep=_UPSERT_ORDER
-            )
+            mine = to_dims.filter(F.col("sink_table") == name)
+            mine = mine.withColumn(SET_COLUMNS.removeprefix("_"), F.json_object_keys("data"))
+            rows = ch.typed_data(mine, dim.schema, keep=(*_UPSERT_ORDER, SET_COLUMNS))
             dim.upsert(rows, list(_UPSERT_ORDER), batch_id)
-        routed.unpersist()
 
     return wh.start(wh.topics.read(spark, source), "db_base", route)
 
@@ -149,9 +157,11 @@ def user_jump(
     spark: SparkSession, wh: Warehouse, source: str = "dwd_page_log", within: str = "10 seconds"
 ):
     """Page log to the entry pages that were not followed."""
-    pages = _pages(spark, wh, source).select("mid", "last_page_id", "event_time", "src_offset",
-                                             "value")
-    found = detect_bounces_stream(pages, "src_offset", within)
+    position = F.concat_ws("#", "src_partition", F.lpad(F.col("src_offset").cast("string"), 19, "0"))
+    pages = _pages(spark, wh, source).select(
+        "mid", "last_page_id", "event_time", position.alias("position"), "value"
+    )
+    found = detect_bounces_stream(pages, "position", within)
     return wh.topics.write(found, "dwm_user_jump_detail", "user_jump", wh.trigger)
 
 

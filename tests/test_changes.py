@@ -6,7 +6,9 @@ from conftest import rows
 from streammart.functions.jsons import split_dirty
 from streammart.operators import changes as ch
 from streammart.schemas import RULES
-from streammart.sources.dim_table import DimTable, dim_schema, dims_of_rules
+from streammart.sources.dim_table import SET_COLUMNS, DimTable, dim_schema, dims_of_rules
+from streammart.sources.topics import Topics
+from streammart.streaming.jobs import rules_from_feed
 from streammart.sources.tables import read_rules
 
 ENVELOPES = [
@@ -108,6 +110,52 @@ def test_dim_table(spark, tmp_path, rules):
     assert rows(before) == [("1", "new"), ("2", "two")], "a reader keeps its version"
 
 
+def test_dim_table_keeps_columns_a_change_does_not_set(spark, tmp_path):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"))
+    schema = f"id STRING, name STRING, gender STRING, n INT, {SET_COLUMNS} ARRAY<STRING>"
+
+    def change(batch, *data):
+        dim.upsert(spark.createDataFrame(list(data), schema), ["n"], batch)
+
+    change(0, ("1", "ann", "f", 1, ["id", "name", "gender"]))
+    change(1, ("1", None, "x", 2, ["id", "gender"]), ("2", "bob", None, 3, ["id", "name"]))
+    assert rows(dim.read(spark)) == [("1", "ann", "x"), ("2", "bob", None)]
+    change(2, ("1", None, None, 4, ["id", "name"]), ("1", None, "y", 5, ["id", "gender"]))
+    assert rows(dim.read(spark)) == [("1", None, "y"), ("2", "bob", None)]
+    versions = spark.read.json(f"{tmp_path}/d/versions").count()
+    change(3)
+    assert spark.read.json(f"{tmp_path}/d/versions").count() == versions
+
+
+def test_dim_table_has_the_columns_of_all_its_rules(spark, tmp_path):
+    rules = spark.createDataFrame(
+        [("t", "insert", "hbase", "dim_t", "id,name,birthday", "id", None),
+         ("t", "update", "hbase", "dim_t", "id,gender", "id", None)], RULES)
+    dim = dims_of_rules(rules, str(tmp_path))["dim_t"]
+    assert sorted(dim.schema.fieldNames()) == ["birthday", "gender", "id", "name"]
+
+
+def test_rules_follow_the_number_of_the_batch(spark, tmp_path):
+    topics = Topics(root=str(tmp_path / "t"))
+    for batch in range(12):
+        rule = {"source_table": "a", "operate_type": "insert", "sink_table": f"from_{batch}"}
+        value = json.dumps({"op": "u", "before": {}, "after": rule})
+        feed = spark.createDataFrame([("x.y.table_process", value)], "topic STRING, value STRING")
+        topics.put(feed, "cdc", batch)
+    rules = rules_from_feed(topics, "x.y.table_process")(spark)
+    assert rows(rules, "sink_table") == [("from_11",)]
+
+
+def test_rules_follow_the_time_of_the_change(spark, tmp_path):
+    topics = Topics(root=str(tmp_path / "t"))
+    for batch, time in enumerate((20, 10)):
+        rule = {"source_table": "a", "operate_type": "insert", "sink_table": f"at_{time}"}
+        value = json.dumps({"op": "u", "before": {}, "after": rule, "ts_ms": time})
+        feed = spark.createDataFrame([("x.y.table_process", value)], "topic STRING, value STRING")
+        topics.put(feed, "cdc", batch)
+    assert rows(rules_from_feed(topics, "x.y.table_process")(spark), "sink_table") == [("at_20",)]
+
+
 def test_rule_columns_must_hold_the_key():
     assert dim_schema("id,name").fieldNames() == ["id", "name"]
     with pytest.raises(ValueError):

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -49,6 +51,22 @@ def test_sql_view_over_a_topic(spark, tmp_path):
     assert rows(out) == [(7, "00")]
 
 
+def test_a_job_needs_a_named_checkpoint_root(spark, tmp_path):
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="checkpoint root"):
+        Topics(root=str(tmp_path)).checkpoint(unset, "job")
+    assert Topics(root=str(tmp_path), checkpoints="/c").checkpoint(spark, "job") == "/c/job"
+
+
+def test_a_topic_can_be_read_before_it_is_written(spark, tmp_path):
+    topics = Topics(root=str(tmp_path / "t"), checkpoints=str(tmp_path / "c"))
+    assert topics.read(spark, "later", streaming=False).count() == 0
+    finish(topics.write(topics.read(spark, "later").select("value"), "copy", "copier"))
+    topics.put(records(spark, ("later", "1")), "job", 1)
+    finish(topics.write(topics.read(spark, "later").select("value"), "copy", "copier"))
+    assert rows(topics.read(spark, "copy", False), "value") == [("1",)]
+
+
 def test_kafka_options():
     topics = Topics(bootstrap="host:1", options={"kafka.security.protocol": "SSL"})
     opts = topics.read_options("a", True)
