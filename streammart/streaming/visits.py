@@ -111,7 +111,7 @@ class _Unfollowed(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.marks = handle.getListState("marks", "at BIGINT, tie BIGINT, row STRING")
+        self.marks = handle.getListState("marks", "at BIGINT, tie STRING, row STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         waiting, latest = [], {}
@@ -149,6 +149,13 @@ class _Unfollowed(StatefulProcessor):
         pass
 
 
+def _as_text(log: DataFrame, column: str):
+    """A tiebreak as text of the same order; numbers (not below 0) are padded."""
+    if isinstance(log.schema[column].dataType, T.StringType):
+        return F.col(column)
+    return F.lpad(F.col(column).cast("string"), 20, "0")
+
+
 def detect_bounces_stream(
     log: DataFrame,
     tiebreak: str,
@@ -175,7 +182,7 @@ def detect_bounces_stream(
         F.explode(F.when(entry, F.array(own)).otherwise(F.array(own, own - 1))).alias("stretch"),
         F.col(event_time).alias("event_time"),
         at.alias("at"),
-        F.col(tiebreak).cast("bigint").alias("tie"),
+        _as_text(log, tiebreak).alias("tie"),
         entry.alias("entry"),
         F.when(entry, F.to_json(F.struct(*log.columns), _EXACT_TIMES)).alias("row"),
     )
