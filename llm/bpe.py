@@ -26,7 +26,7 @@ from llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k"
 #: Words of a query, and what is remembered from one batch to the next; both bound memory only.
-WORDS, KNOWN = 10_000, 300_000
+WORDS, KNOWN = 10_000, 200_000
 #: Bytes from which a word's equal pairs are contracted together.
 LONG = 64
 
@@ -92,12 +92,12 @@ class Tokenizer:
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [(ranks[w[:i]], ranks[w[i:]], r) for w, r in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
         unsafe = {part for a, b, r in merges for part in (a, b) if part > r}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": tempfile.gettempdir()})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": tempfile.gettempdir()})
         left, right, merged = (np.array(c, np.int64) for c in zip(*merges))
         self._table("merges", pa.table({"pair": left << 16 | right, "merged": merged.astype(np.int32), "key": merged << 16}))
         self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "chars": [w.decode("latin-1") for w in ranks]}))
         self._table("safe", pa.table({"id": pa.array(ranks.values(), pa.int32()), "safe": [r not in unsafe for r in ranks.values()]}))
-        self.encode = ChunkEncoder(self._encode_chunks, KNOWN // 2)
+        self.encode = ChunkEncoder(self._encode_chunks, KNOWN)
         self.words = {}
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -135,22 +135,30 @@ class Tokenizer:
         return [found[w] for w in words]
 
     def _encode_chunks(self, texts: list[str]) -> list[bytes]:
-        cut = [[w.encode() for w in self.pattern.findall(text)] for text in texts]
+        find = self.pattern.findall
+        # A space and ASCII letters, or letters alone, are one match.
+        cut = [None if text.isascii() and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()) else find(text) for text in texts]
         if len(self.words) > KNOWN:
             self.words.clear()
         known = self.words
-        new = set().union(*cut) - known.keys()
-        known.update((w, np.array([self.ranks[w]], "<u4").tobytes()) for w in new if w in self.ranks)
-        rest = [w for w in new if w not in known]
-        known.update(zip(rest, self.merge(rest)))
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        new = set().union(*[words for words in cut if words is not None], [text for text, words in zip(texts, cut) if words is None]) - known.keys()
+        rest = []
+        for word in new:
+            rank = self.ranks.get(raw := word.encode())
+            if rank is None:
+                rest.append((word, raw))
+            else:
+                known[word] = rank.to_bytes(4, "little")
+        known.update(zip([word for word, _ in rest], self.merge([raw for _, raw in rest])))
+        return [known[text] if words is None else b"".join([known[w] for w in words]) for text, words in zip(texts, cut)]
 
     def decode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts -> their bytes; byte b is kept as the character of code point b."""
         sizes = np.array([len(ids) // 4 for ids in texts], np.int64)
         ids = np.frombuffer(b"".join(texts), "<u4").astype(np.int32)
         rows = pa.table({"text": np.repeat(np.arange(len(texts), dtype=np.int32), sizes), "pos": np.arange(len(ids), dtype=np.int32), "id": ids})
-        sql = "SELECT text, string_agg(v.chars, '' ORDER BY e.pos) AS chars FROM encoded e JOIN vocabulary v USING (id) GROUP BY text"
+        # One thread aggregates the sorted rows in their order.
+        sql = "SELECT text, string_agg(chars, '') AS chars FROM (SELECT text, chars FROM encoded JOIN vocabulary USING (id) ORDER BY pos) GROUP BY text"
         found = self._query("encoded", rows, sql)
         out = [b""] * len(texts)
         for text, chars in zip(found["text"].to_pylist(), found["chars"].to_pylist()):
@@ -173,7 +181,7 @@ def encode(docs: DataFrame, keys: list[str], text: str = "text", vocabulary: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
-            for first, texts in pieces(batch.column(len(keys))):
+            for first, texts in pieces(batch.column(len(keys)), 2 << 20):
                 ids = tokenizer.encode([t or "" for t in texts.to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(first, len(texts)) for k in range(len(keys))] + [pa.array(ids, pa.binary())], names=schema.names)
 
