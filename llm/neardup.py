@@ -6,8 +6,8 @@ Bands of registers gather candidates, the joint likelihood of two sketches drops
 far from the threshold, and the full sets decide.
 
 Documents with equal sets are one class.  Components need no list of all pairs: in every bucket of a band
-the members first meet the bucket's smallest class, and only what is still in different components is
-compared pair by pair, register against register, in cells of bounded size.
+the members first meet one of them, by turns another one, and only what is still in different components
+then is compared pair by pair, register against register, in cells of bounded size.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ REGISTERS, BASE, RATE = 256, 1.1, 20.0
 BANDS, ROWS = 42, 6
 #: Standard errors of the estimate below the threshold at which a pair is still verified.
 MARGIN = 4.5
+#: Turns in which the members of a bucket meet one of them; in one more each meets the one most like it.
+STARS = 2
 #: Members of a bucket that are compared in one task.
 CELL = 1_000
 _FACTORS, _SHIFTS = seeds(REGISTERS, 11) | U64(1), seeds(REGISTERS, 12)
@@ -91,12 +93,31 @@ def _sketch(size: int):
 def _full(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([x.tobytes() for x in _sets(batch.column(1), size)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["class", "shingles"])
+            found = list(_sets(batch.column(1), size))
+            full, short = (pa.array([f(x) for x in found], pa.binary()) for f in (np.ndarray.tobytes, _short))
+            yield pa.RecordBatch.from_arrays([batch.column(0), full, short], names=["class", "shingles", "short"])
 
     return run
 
 
+def _short(shingles: np.ndarray) -> bytes:
+    """The first 16 bits of each shingle's hash, in order; a quarter of the full set."""
+    return (shingles >> U64(48)).astype("<u2").tobytes()
+
+
+def _counted(short: bytes) -> np.ndarray:
+    """Makes equal numbers different by their count so far, so that common elements can be counted."""
+    x = np.frombuffer(short, "<u2").astype(np.int64)
+    first = np.maximum.accumulate(np.where(np.diff(x, prepend=-1) != 0, np.arange(len(x)), 0))
+    return x << 32 | np.arange(len(x)) - first
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _matrix(sketches: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(sketches.to_pylist()), np.uint8).reshape(-1, REGISTERS)
 
@@ -116,28 +137,41 @@ def _confirmed(percent: int):
         out = []
         for x, y in zip(a.to_pylist(), b.to_pylist()):
             x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
+            common = _common(x, y)
             out.append(100 * common >= percent * (len(x) + len(y) - common))
         return pa.array(out, pa.bool_())
 
     return run
 
 
-def _cells(threshold: float):
-    """Pairs of different components in one cell (two blocks of a bucket, or one with itself) that are likely."""
+def _cells(percent: int, best: bool):
+    """Pairs of different components in one cell (two blocks of a bucket, or one with itself) that are likely.
+
+    ``best``: for each member the pair with the most equal registers only.  Otherwise all pairs whose shortened
+    sets have enough in common: equal shingles stay equal when shortened, so no link is lost.
+    """
+    threshold = percent / 100
 
     def run(rows: pa.Table) -> pa.Table:
         sketch, n = _matrix(rows["registers"]), rows["n"].to_numpy()
         name, part, left = rows["class"].to_numpy(), rows["component"].to_numpy(), rows["left_"].to_numpy()
         right = rows["right_"].to_numpy()
+        band = rows["band"][0].as_py()
+        short = [] if best else [_counted(x) for x in rows["short"].to_pylist()]
         a, b = np.flatnonzero(left), np.flatnonzero(right)
         found = [np.zeros((0, 2), np.int64)]
         for i in a:
             other = b[(part[b] != part[i]) & (~(left[b] & right[i]) | (name[b] > name[i]))]
             more, less = (sketch[i] > sketch[other]).sum(1), (sketch[i] < sketch[other]).sum(1)
             hit = other[likely(more, less, n[i], n[other], threshold)]
+            # A pair that meets in several bands is left to the first.
+            equal = (sketch[hit][:, : BANDS * ROWS] == sketch[i][: BANDS * ROWS]).reshape(len(hit), BANDS, ROWS).all(2)
+            if best and len(hit):
+                hit = hit[[(sketch[hit] == sketch[i]).sum(1).argmax()]]
+            elif len(hit):
+                hit = hit[equal.argmax(1) == band]
+                common = np.array([_common(short[i], short[k]) for k in hit], np.int64)
+                hit = hit[100 * common >= percent * (n[i] + n[hit] - common)]
             found.append(np.stack([np.minimum(name[hit], name[i]), np.maximum(name[hit], name[i])], 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -169,33 +203,46 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int
 
     band = F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> struct(i as band, xxhash64(i, substring(registers, i * {ROWS} + 1, {ROWS})) as bucket))"))
     members = heads.select("class", band.alias("k")).select("class", "k.band", "k.bucket")
-    pivots = members.groupBy("band", "bucket").agg(F.min("class").alias("pivot"), F.count("*").alias("g")).where("g > 1")
-    inside = stored(members.join(pivots, ["band", "bucket"]))
+    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("g")).where("g > 1")
+    labelled = stored(members.join(shared, ["band", "bucket"]).withColumn("component", F.col("class")))
 
-    candidates = inside.select("class").distinct()
+    candidates = labelled.select("class").distinct()
     texts = numbered.select(F.col("row").alias("class"), "text").join(candidates, "class", "left_semi")
-    full = stored(texts.mapInArrow(_full(size), "class long, shingles binary"))
+    full = stored(texts.mapInArrow(_full(size), "class long, shingles binary, short binary"))
 
     sketch_a = heads.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     sketch_b = heads.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    stars = inside.where("class != pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    star_pairs = stars.join(sketch_a, "a").join(sketch_b, "b").where(_likely_pairs(threshold)("r_a", "r_b", "n_a", "n_b")).select("a", "b")
-    links = stored(_verified(star_pairs, full, percent))
-    found = components(links, "a", "b")
-
-    labelled = inside.join(found, F.col("class") == F.col("node"), "left").select("band", "bucket", "class", F.coalesce("component", "class").alias("component"), "g")
-    labelled = stored(labelled)
-    open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").drop("x", "y")
-    rest = labelled.join(open_, ["band", "bucket"]).join(heads, "class")
+    links = None
+    for turn in range(STARS + 1):
+        if turn < STARS:
+            pivot = F.min_by(F.struct("class", "component"), F.xxhash64(F.lit(turn), "class")).alias("pivot")
+            stars = _open(labelled, pivot).where("component != pivot.component")
+            stars = stars.select(F.least("class", "pivot.class").alias("a"), F.greatest("class", "pivot.class").alias("b")).distinct()
+            near = stars.join(sketch_a, "a").join(sketch_b, "b").where(_likely_pairs(threshold)("r_a", "r_b", "n_a", "n_b")).select("a", "b")
+        else:
+            near = _crossing(labelled, heads, percent, True).distinct()
+        confirmed = _verified(near, full, percent)
+        links = stored(links.union(confirmed) if links else confirmed)
+        found = components(links, "a", "b")
+        members = labelled.drop("component").join(found, F.col("class") == F.col("node"), "left")
+        labelled = stored(members.select("band", "bucket", "class", "g", F.coalesce("component", "class").alias("component")))
+    last = _verified(_crossing(labelled, heads.join(full.select("class", "short"), "class"), percent, False), full, percent)
+    return rows, components(stored(links.union(last)), "a", "b").select(F.col("node").alias("class"), "component")
+
+
+def _crossing(labelled: DataFrame, heads: DataFrame, percent: int, best: bool) -> DataFrame:
+    """a, b: likely pairs of different components that share a bucket; all of them, once, unless ``best``."""
     blocks = f"int(ceil(g / {CELL}.0))"
-    cell = F.expr(
-        f"transform(sequence(0, {blocks} - 1), j -> struct(least(j, own) as i, greatest(j, own) as j, own <= j as left_, own >= j as right_))"
-    )
-    dealt = rest.withColumn("own", F.expr(f"int(pmod(xxhash64(class), {blocks}))")).withColumn("c", F.explode(cell))
-    dealt = dealt.select("band", "bucket", "c.i", "c.j", "c.left_", "c.right_", "class", "component", "n", "registers")
-    crossing = dealt.groupBy("band", "bucket", "i", "j").applyInArrow(_cells(threshold), "a long, b long").distinct()
-    all_links = stored(links.union(_verified(crossing, full, percent)))
-    return rows, components(all_links, "a", "b").select(F.col("node").alias("class"), "component")
+    cell = F.expr(f"transform(sequence(0, {blocks} - 1), j -> struct(least(j, own) as i, greatest(j, own) as j, own <= j as left_, own >= j as right_))")
+    dealt = _open(labelled).join(heads, "class").withColumn("own", F.expr(f"int(pmod(xxhash64(class), {blocks}))")).withColumn("c", F.explode(cell))
+    dealt = dealt.select("band", "bucket", "c.i", "c.j", "c.left_", "c.right_", "class", "component", "n", "registers", *([] if best else ["short"]))
+    return dealt.groupBy("band", "bucket", "i", "j").applyInArrow(_cells(percent, best), "a long, b long")
+
+
+def _open(labelled: DataFrame, *more: Column) -> DataFrame:
+    """Members of the buckets that still hold several components; ``more`` is computed per bucket."""
+    ends = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), *more)
+    return labelled.join(ends.where("x != y").drop("x", "y"), ["band", "bucket"])
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, percent: int = 85) -> DataFrame:
