@@ -41,7 +41,7 @@ class _Model:
         self.signs: set[str] = set()
         for name, c in counts.items():
             left = self.norm[name] ** 2
-            for term in sorted(c, key=lambda t: (-c[t] * self.idf[t], t)):
+            for term in sorted(c, key=lambda t: (c[t] * self.idf[t], len(t), t), reverse=True):
                 if left < (min_cosine * self.norm[name]) ** 2:
                     break
                 self.signs.add(term)
@@ -61,20 +61,29 @@ def notices(files: DataFrame, templates: dict[str, str] = TEMPLATES, min_cosine:
     spark, model = files.sparkSession, _Model(templates, min_cosine)
     if not model.signs:
         return files.select("path", F.lit(None).cast("string").alias("license"), F.lit(None).cast("double").alias("cosine")).limit(0)
-    signs = "|".join(sorted(model.signs))
+    signs = f"(?<![a-z0-9])({'|'.join(sorted(model.signs))})(?![a-z0-9])"
     text = F.lower("text")
-    units = F.array_union(F.split(text, "\n", -1), F.array(text))
-    lines = files.where(text.rlike(signs)).select("path", F.explode(F.filter(units, lambda x: x.rlike(signs))).alias("line")).distinct()
-    terms = lines.select("path", "line", F.explode(F.regexp_extract_all("line", F.lit(f"({_TERM})"))).alias("term"))
-    counted = terms.groupBy("path", "line", "term").agg(F.count("*").alias("tf"))
+    units = F.explode(F.array_union(F.split(text, "\n", -1), F.array(text)))
+    lines = files.where(text.rlike(signs)).select("path", units.alias("line")).where(F.col("line").rlike(signs))
+    terms = F.array_distinct(F.regexp_extract_all("line", F.lit(f"({_TERM})")))
+    # The terms a line shares with a template bound their cosine.
+    bounds = [
+        sum(F.when(F.array_contains("terms", t), (n * model.idf[t] / model.norm[name]) ** 2).otherwise(0.0) for t, n in c.items())
+        for name, c in model.counts.items()
+    ]
+    # As the output of a generator the terms of a line are found once, not once for each use.
+    near = lines.select("path", "line", F.explode(F.array(terms)).alias("terms")).where(F.greatest(*bounds, F.lit(0.0)) >= (min_cosine - 1e-9) ** 2)
+    near = near.select("path", F.xxhash64("line").alias("unit"), "line").dropDuplicates(["path", "unit"])
+    each = near.select("path", "unit", F.explode(F.regexp_extract_all("line", F.lit(f"({_TERM})"))).alias("term"))
+    counted = each.groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
     idf = F.broadcast(_literal_rows(spark, sorted(model.idf.items()), ["term", "idf"]))
     weighed = counted.join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(model.unknown)))
-    norms = weighed.groupBy("path", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = weighed.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     weights = [(name, term, n * model.idf[term] / model.norm[name]) for name, c in model.counts.items() for term, n in c.items()]
     template = F.broadcast(_literal_rows(spark, sorted(weights), ["license", "term", "share"]))
-    dots = weighed.join(template, "term").groupBy("path", "line", "license").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
+    dots = weighed.join(template, "term").groupBy("path", "unit", "license").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
-    scored = dots.join(norms, ["path", "line"]).select("path", "license", cosine.alias("cosine")).where(F.col("cosine") >= min_cosine)
+    scored = dots.join(norms, ["path", "unit"]).select("path", "license", cosine.alias("cosine")).where(F.col("cosine") >= min_cosine)
     best = F.max_by("license", F.struct("cosine", *_descending(F.col("license"))))
     return scored.groupBy("path").agg(best.alias("license"), F.max("cosine").alias("cosine"))
 
