@@ -33,7 +33,7 @@ BANDS, ROWS = 42, 6
 #: Standard errors of the estimate below the threshold at which a pair is still verified.
 MARGIN = 4.5
 #: Turns in which the members of a bucket meet one of them; in one more each meets the one most like it.
-STARS = 2
+STARS = 1
 #: Members of a bucket that are compared in one task.
 CELL = 1_000
 _FACTORS, _SHIFTS = seeds(REGISTERS, 11) | U64(1), seeds(REGISTERS, 12)
