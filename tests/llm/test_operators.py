@@ -344,6 +344,25 @@ def test_few_vectors_give_all_candidates(spark):
     assert ann.search(df.limit(1), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("norms", ["lognormal", "outlier"])
+def test_nearest_of_different_norms(spark, norms):
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(60, 64))[draw.integers(0, 60, 9000)] + 0.7 * draw.normal(size=(9000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if norms == "lognormal":
+        x *= np.exp(0.6 * draw.normal(size=9000))[:, None]
+    else:
+        x[7] *= 5
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    out = ann.search(df, F.col("vec_id") % 100 == 0).toPandas()
+    hit = 0
+    for q in range(0, 9000, 100):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(set(np.argsort(-score)[:20]) & set(out[out.query_id == q].vec_id))
+    assert hit / 1800 >= 0.97
+
+
 # -- 9 -------------------------------------------------------------------------
 
 
