@@ -186,14 +186,18 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(_confirmed(percent)("set_a", "set_b")).select("a", "b")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row__``, stored: Spark numbers rows anew in every scan, and splits depend on the cores alive then."""
+    return stored(docs.withColumn("row__", F.monotonically_increasing_id()))
+
+
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(rows, membership): rows have row, doc_id, n, class; membership has class and component.
 
-    ``row`` is Spark's ``monotonically_increasing_id`` over ``docs``, which has to be a stored table.
-    A text without a word has no class and is similar to nothing.
+    ``docs`` is a table of ``_numbered``; ``row`` is its ``row__``.  A text without a word has no class and is similar to nothing.
     """
     threshold = percent / 100
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    numbered = docs.select(F.col("row__").alias("row"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
     id_type = docs.schema[key].dataType.simpleString()
     sketches = stored(numbered.mapInArrow(_sketch(size), f"row long, doc_id {id_type}, n long, print binary, registers binary"))
     with_class = sketches.where("n > 0").groupBy("print").agg(F.min("row").alias("class"))
@@ -251,7 +255,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     Null keys count last: a component has a null id only if all its keys are null.  Rows with equal key and
     text are in one component and both kept if theirs is the smallest key.  A text without a word stands alone.
     """
-    rows, membership = classes(docs, text, key, size, percent)
+    numbered = _numbered(docs.select(key, text))
+    rows, membership = classes(numbered, text, key, size, percent)
     placed = rows.join(membership, "class", "left").withColumn("group_", F.coalesce("component", "class"))
     lowest = placed.where("group_ is not null").groupBy("group_").agg(F.min("doc_id").alias("lowest"))
     placed = placed.join(lowest, "group_", "left").withColumn("component_id", F.when(F.col("group_").isNull(), F.col("doc_id")).otherwise(F.col("lowest")))
@@ -259,12 +264,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``, a stored table, without all but the row of smallest key (then the first) of each group; its columns."""
-    rows, membership = classes(docs, text, key, size, percent)
+    """``docs`` without all but the row of smallest key (then the first) of each group; its columns."""
+    numbered = _numbered(docs)
+    rows, membership = classes(numbered, text, key, size, percent)
     placed = rows.where("class is not null").join(membership, "class", "left").withColumn("group_", F.coalesce("component", "class"))
     first = placed.groupBy("group_").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     gone = placed.join(first, "group_").where("row != first.row").select(F.col("row").alias("row__"))
-    return docs.withColumn("row__", F.monotonically_increasing_id()).join(gone, "row__", "left_anti").drop("row__")
+    return numbered.join(gone, "row__", "left_anti").drop("row__")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,6 +260,27 @@ def test_one_document_of_each_group_stays(docs, none):
     assert neardup.one_of_each(none).count() == 0
 
 
+def test_rows_keep_their_numbers_when_splits_change(spark, monkeypatch):
+    """The first step scans with one core, the later ones with six."""
+    texts = [near(n % 10, 0 if n < 10 else 2) for n in range(30)]
+    df = stored(spark.createDataFrame(enumerate(texts), "doc_id BIGINT, text STRING").repartition(3))
+
+    def moved(rows):
+        out = stored(rows)
+        spark.conf.set("spark.sql.files.minPartitionNum", "6")
+        return out
+
+    monkeypatch.setattr(neardup, "stored", moved)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert rows(neardup.one_of_each(df), "doc_id", "text") == [(n, texts[n]) for n in range(10)]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_registers_merge_by_maximum():
     a, b = np.arange(1, 400, dtype=np.uint64) ** 3, np.arange(300, 900, dtype=np.uint64) ** 3
     assert (neardup.registers(np.union1d(a, b)) == np.maximum(neardup.registers(a), neardup.registers(b))).all()
