@@ -1,10 +1,12 @@
-"""Best-fit packing of token sequences by bin completion over the histogram of piece lengths."""
+"""Packing of token sequences by bin completion, branch and bound over the histogram of piece lengths, from a best-fit incumbent."""
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ END_ID = 2
 VOCABULARY = "byte_bpe_50k"
 #: Steps of one bin's completion search; the best filling found so far is used beyond it.
 SEARCH_STEPS = 20_000
+#: Steps of the search across bins, and of the fillings of one bin in it; the best packing so far is used beyond the first.
+BRANCH_STEPS, FILLING_STEPS = 200_000, 1_000
 
 
 @cache
@@ -154,10 +158,133 @@ def completions(histogram: dict[int, int], capacity: int = CAPACITY, search: boo
     return out
 
 
+def least_sequences(counts: np.ndarray, capacity: int) -> int:
+    """A lower bound: all tokens over the capacity, or what pieces over half of it leave for those of at least k tokens."""
+    n = np.arange(capacity + 1)
+    number, total = np.cumsum(counts), np.cumsum(counts * n)
+    half, bound = capacity // 2, -(-int(total[-1]) // capacity)
+    for k in range(1, half + 1):
+        over, fits = int(number[-1] - number[half]), int(number[capacity - k] - number[half])
+        free = fits * capacity - int(total[capacity - k] - total[half])
+        small = int(total[half] - total[k - 1])
+        bound = max(bound, over + max(0, -(-(small - free) // capacity)))
+    return bound
+
+
+def _dominated(filling: list[int], waste: int, counts: np.ndarray) -> bool:
+    """Whether one piece left over is longer than up to three of the filling, or as long as two or three, and fits for them."""
+    left = counts.copy()
+    np.subtract.at(left, filling, 1)
+    for size in range(min(3, len(filling)) + 1):
+        for some in set(combinations(filling, size)):
+            total = sum(some)
+            if left[total + (size < 2) : total + waste + 1].any():
+                return True
+    return False
+
+
+def fillings(room: int, counts: np.ndarray, waste: int, steps: int = FILLING_STEPS) -> tuple[list[list[int]], int]:
+    """Undominated fillings of ``room`` that waste at most ``waste``, least waste first, and the steps taken."""
+    have = np.flatnonzero(counts[: room + 1])[::-1].tolist()
+    held = [n * int(counts[n]) for n in have]
+    rest = np.concatenate([np.cumsum(held[::-1])[::-1], [0]]).tolist()
+    found, used, taken = [], 0, []
+
+    def search(index: int, room: int) -> None:
+        nonlocal used
+        if room <= waste:
+            found.append((room, list(taken)))
+        for k in range(index, len(have)):
+            n = have[k]
+            for copies in range(min(int(counts[n]), room // n), 0, -1):
+                if room - min(room, rest[k]) > waste or used >= steps:
+                    return
+                used += 1
+                taken.extend([n] * copies)
+                search(k + 1, room - copies * n)
+                del taken[len(taken) - copies :]
+
+    search(0, room)
+    found.sort(key=lambda f: f[0])
+    return [f for w, f in found if not _dominated(f, w, counts)], used + 1
+
+
+def branch(histogram: dict[int, int], incumbent: list[tuple[list[int], int]], capacity: int = CAPACITY, steps: int = BRANCH_STEPS) -> list[tuple[list[int], int]]:
+    """The incumbent or a packing of fewer sequences: bin completion, branch and bound across bins.
+
+    The bin of the largest piece left branches over its undominated fillings, each used as often as the counts allow and
+    then fewer times.  A branch is left when its waste so far, with what is left packed without any, does not beat the
+    incumbent.  Branches with few departures from the first choice come first; the bound met, nothing
+    left to try, or ``steps`` end the search.
+    """
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
+    best, best_bins = incumbent, sum(times for _, times in incumbent)
+    bound, total = least_sequences(counts, capacity), int((counts * np.arange(capacity + 1)).sum())
+
+    def choices(counts: np.ndarray, spare: int) -> Iterator[tuple[list[int], int, np.ndarray]]:
+        nonlocal steps
+        largest = int(np.flatnonzero(counts)[-1])
+        counts[largest] -= 1
+        found, used = fillings(capacity - largest, counts, min(spare, capacity - largest), min(FILLING_STEPS, steps))
+        counts[largest] += 1
+        steps -= used
+        uses = []
+        for filling in found:
+            need = np.bincount([largest, *filling], minlength=capacity + 1)
+            at = np.flatnonzero(need)
+            uses.append(([largest, *filling], need, int((counts[at] // need[at]).min())))
+        yield from ((pattern, most, need) for pattern, need, most in uses)
+        for less in range(1, max((most for _, _, most in uses), default=0)):
+            yield from ((pattern, most - less, need) for pattern, need, most in uses if most > less)
+
+    turns = 0
+    while best_bins > bound and steps > 0:
+        # One level a bin pattern: counts left, waste so far, turns left, choices not yet tried.
+        seen: dict[bytes, list[tuple[int, int]]] = {}
+        cut = False
+        path: list[tuple[list[int], int]] = []
+        level = [(counts, 0, turns, choices(counts, (best_bins - 1) * capacity - total))]
+        ranks = [0]
+        while level and best_bins > bound and steps > 0:
+            left, waste, more, rest = level[-1]
+            chosen = next(rest, None)
+            if chosen is not None and ranks[-1] > more:
+                cut, chosen = True, None
+            if chosen is None:
+                level.pop()
+                ranks.pop()
+                if path:
+                    path.pop()
+                continue
+            pattern, times, need = chosen
+            more_, ranks[-1], steps = more - ranks[-1], ranks[-1] + 1, steps - 1
+            wasted = waste + times * (capacity - sum(pattern))
+            spare = (best_bins - 1) * capacity - total - wasted
+            if spare < 0:
+                continue
+            after = left - need * times
+            if not after.any():
+                best, best_bins = [*path, (pattern, times)], sum(t for _, t in path) + times
+                continue
+            key = hashlib.md5(after.tobytes()).digest()
+            if any(w <= wasted and m >= more_ for w, m in seen.get(key, [])):
+                continue
+            seen.setdefault(key, []).append((wasted, more_))
+            path.append((pattern, times))
+            level.append((after, wasted, more_, choices(after, spare)))
+            ranks.append(0)
+        if not cut:
+            break
+        turns = 2 * turns + 1
+    return best
+
+
 def best_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Completion, unless its incumbent, plain best fit, needs fewer sequences."""
+    """Bin completion by branch and bound; its incumbent is the better of least waste bin by bin and plain best fit."""
     found = [completions(histogram, capacity, search) for search in (True, False)]
-    return min(found, key=lambda patterns: sum(times for _, times in patterns))
+    return branch(histogram, min(found, key=lambda patterns: sum(times for _, times in patterns)), capacity)
 
 
 def pack(piece_rows: DataFrame, keys: list[str], capacity: int = CAPACITY) -> DataFrame:

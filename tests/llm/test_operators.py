@@ -447,6 +447,20 @@ def test_completion_beats_or_equals_best_fit():
     assert packing.best_patterns({}) == [] and packing.best_patterns({600: 1, 424: 2, 400: 1, 24: 1}) == [([600, 424], 1), ([424, 400, 24], 1)]
 
 
+@pytest.mark.parametrize("unit", [
+    {448: 2, 384: 4, 192: 2, 128: 2},
+    {512: 1, 448: 1, 384: 1, 320: 4, 192: 1, 128: 2},
+])
+def test_packing_meets_the_bound(unit):
+    histogram = {n: 60 * c for n, c in unit.items()}
+    patterns = packing.best_patterns(histogram)
+    used = Counter()
+    for pattern, times in patterns:
+        assert sum(pattern) <= 1024
+        used.update({n: c * times for n, c in Counter(pattern).items()})
+    assert used == histogram and sum(t for _, t in patterns) == math.ceil(sum(n * c for n, c in histogram.items()) / 1024) == 180
+
+
 def test_digest_of_a_text_round_trips(docs):
     coded = bpe.decode(bpe.encode(docs, ["doc_id", "text"])).collect()
     assert all(hashlib.sha256(bytes(r["decoded"])).digest() == hashlib.sha256((r["text"] or "").encode()).digest() for r in coded)
