@@ -7,6 +7,8 @@ from llm.ann import op8_nearest
 from llm.bpe import op3_bpe
 from llm.chat import ORACLE as CHAT_ORACLE
 from llm.chat import op5_chat
+from llm.divergence import ORACLE as DIVERGENCE_ORACLE
+from llm.divergence import op11_divergence
 from llm.licenses import ORACLE as LICENSE_ORACLE
 from llm.licenses import op9_licenses
 from llm.linedup import ORACLE as LINE_ORACLE
@@ -17,8 +19,8 @@ from llm.packing import op10_packing
 from llm.quality import op7_quality
 from llm.sharding import op4_sharding
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe, op4_sharding, op5_chat, op6_near_duplicates, op7_quality, op8_nearest, op9_licenses, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe, op4_sharding, op5_chat, op6_near_duplicates, op7_quality, op8_nearest, op9_licenses, op10_packing, op11_divergence)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op1_line_dedup": LINE_ORACLE, "op5_chat": CHAT_ORACLE, "op9_licenses": LICENSE_ORACLE}
+ORACLES: dict[str, str] = {"op1_line_dedup": LINE_ORACLE, "op5_chat": CHAT_ORACLE, "op9_licenses": LICENSE_ORACLE, "op11_divergence": DIVERGENCE_ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
