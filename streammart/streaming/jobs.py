@@ -64,6 +64,11 @@ class Warehouse:
         return self.sinks.get(job) or stats_sink(f"{self.stats_root}/{job}", list(columns))
 
 
+def checkpoint_id(spark: SparkSession) -> str:
+    """What tells the running query's checkpoint from any other; batch numbers start anew with each."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def rules_from_feed(topics: Topics, topic: str) -> Callable[[SparkSession], DataFrame]:
     """Rules as the change feed of their table leaves them (the feed is small).
 
@@ -126,12 +131,15 @@ def db_base(
             .unionByName(dirty.select(F.lit(unrouted_topic).alias("topic"), "value"))
         )
         wh.topics.put(outgoing, "db_base", batch_id)
+        changed = {r["sink_table"] for r in to_dims.select("sink_table").distinct().collect()}
         for name, dim in dims_of_rules(rules, wh.dim_root).items():
             dim.create(spark)
+            if name not in changed:
+                continue
             mine = to_dims.filter(F.col("sink_table") == name)
             mine = mine.withColumn(SET_COLUMNS.removeprefix("_"), F.json_object_keys("data"))
             rows = ch.typed_data(mine, dim.schema, keep=(*_UPSERT_ORDER, SET_COLUMNS))
-            dim.upsert(rows, list(_UPSERT_ORDER), batch_id)
+            dim.upsert(rows, list(_UPSERT_ORDER), batch_id, f"db_base/{checkpoint_id(spark)}")
 
     return wh.start(wh.topics.read(spark, source), "db_base", route)
 

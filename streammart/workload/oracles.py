@@ -268,6 +268,22 @@ SELECT 't' || o_custkey AS source_table, o_orderstatus AS operate_type,
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus
                                    ORDER BY o_orderkey DESC) AS rn FROM orders)
 WHERE rn = 1 AND o_orderpriority <> '5-LOW'""",
+    "dim_upsert_batches": """
+WITH gone AS (SELECT user_id, max(event_id) AS at FROM events WHERE event_type = 'error' GROUP BY user_id),
+kept AS (
+  SELECT e.* FROM events e LEFT JOIN gone g ON e.user_id = g.user_id
+  WHERE e.user_id IS NOT NULL AND event_type <> 'error' AND (g.at IS NULL OR event_id > g.at))
+SELECT user_id, arg_max(event_type, event_id) AS last_type,
+       arg_max(value, event_id) FILTER (event_type IN ('signup', 'purchase')) AS amount,
+       arg_max(props, event_id) FILTER (event_type = 'signup') AS props
+FROM kept GROUP BY user_id""",
+    "asof_enrich": """
+WITH versions AS (
+  SELECT user_id, ts, props, event_type = 'error' AS removed FROM events WHERE event_type IN ('signup', 'error')
+  QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+SELECT f.event_id, f.user_id, CASE WHEN NOT v.removed THEN v.ts END AS since, CASE WHEN NOT v.removed THEN v.props END AS profile
+FROM events f ASOF LEFT JOIN versions v ON f.user_id = v.user_id AND f.ts >= v.ts
+WHERE f.event_type IN ('view', 'click', 'purchase')""",
     "dim_upsert_latest": """
 SELECT user_id, event_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -453,19 +469,19 @@ SELECT '{{"status":0,"data":' || {document} || '}}' AS chart FROM top"""
 ORACLES["report_chart_trademark"] = _top_chart(
     "tm_id, tm_name",
     "tm_name",
-    """'{"categories":[' || string_agg('"' || n || '"', ',' ORDER BY v DESC, n) ||
-  '],"series":[{"name":"order_amount","data":[' || string_agg(v, ',' ORDER BY v DESC, n) || ']}]}'""",
+    """'{"categories":[' || coalesce(string_agg('"' || n || '"', ',' ORDER BY v DESC, n), '') ||
+  '],"series":[{"name":"order_amount","data":[' || coalesce(string_agg(v, ',' ORDER BY v DESC, n), '') || ']}]}'""",
 )
 ORACLES["report_chart_category3"] = _top_chart(
     "category3_id, category3_name",
     "category3_name",
-    """'[' || string_agg('{"name":"' || n || '","value":' || v || '}', ',' ORDER BY v DESC, n) || ']'""",
+    """'[' || coalesce(string_agg('{"name":"' || n || '","value":' || v || '}', ',' ORDER BY v DESC, n), '') || ']'""",
 )
 ORACLES["report_chart_spu"] = _top_chart(
     "spu_id, spu_name",
     "spu_name",
     """'{"columns":[{"name":"SPU","id":"spu_name"},{"name":"amount","id":"order_amount"},{"name":"orders","id":"order_ct"}],"rows":[' ||
-  string_agg('{"spu_name":"' || n || '","order_amount":' || v || ',"order_ct":' || ct || '}', ',' ORDER BY v DESC, n) || ']}'""",
+  coalesce(string_agg('{"spu_name":"' || n || '","order_amount":' || v || ',"order_ct":' || ct || '}', ',' ORDER BY v DESC, n), '') || ']}'""",
     ", count(DISTINCT order_id || '/' || sku_id) AS ct",
 )
 ORACLES["report_chart_gmv"] = f"""{_SALES}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from streammart.functions.text import register_word_table
 from streammart.functions.times import time_text
 from streammart.operators import changes as ch
 from streammart.operators import logs
+from streammart.operators.asof import asof_join, row_versions
 from streammart.operators.joins import enrich
 from streammart.operators.latest import last_per_key
 from streammart.operators.skew import hot_keys
@@ -34,6 +36,8 @@ from streammart.plans.product_stats import (
 )
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats, visitor_totals
+from streammart.session import shared_dir
+from streammart.sources.dim_table import REMOVED, SET_COLUMNS, DimTable, dim_schema
 from streammart.sources.tables import code_table
 from streammart.workload import roles
 
@@ -117,6 +121,42 @@ def dim_upsert_latest(spark, sf):
     return last.select("user_id", "event_id", "event_type", "value")
 
 
+def dim_upsert_batches(spark, sf):
+    """A user dimension after five updates by the events: sign-ups set all columns, purchases two, clicks
+    and views one, errors remove the row."""
+    kind = F.col("event_type")
+    events = roles.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("id"),
+        "event_id",
+        kind.alias("last_type"),
+        F.col("value").cast("string").alias("amount"),
+        "props",
+        (kind == "error").alias(REMOVED),
+        F.when(kind == "signup", F.array(F.lit("last_type"), F.lit("amount"), F.lit("props")))
+        .when(kind == "purchase", F.array(F.lit("last_type"), F.lit("amount")))
+        .otherwise(F.array(F.lit("last_type")))
+        .alias(SET_COLUMNS),
+    )
+    dim = DimTable(f"{shared_dir(spark)}/streammart-runs/{uuid.uuid4().hex}", dim_schema("id,last_type,amount,props"), max_changes=2)
+    ends = events.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).first()
+    if ends["first"] is not None:
+        width = (ends["last"] - ends["first"]) // 5 + 1
+        for batch in range(5):
+            start = ends["first"] + batch * width
+            changes = events.filter(F.col("event_id").between(start, start + width - 1))
+            dim.upsert(changes, ["event_id"], batch, "events")
+    rows = dim.read(spark)
+    return rows.select(F.col("id").cast("bigint").alias("user_id"), "last_type", F.col("amount").cast("double").alias("amount"), "props")
+
+
+def asof_enrich(spark, sf):
+    """Page views with the profile their user had at that moment: sign-ups set it, errors end it."""
+    facts, versions = roles.profile_feeds(roles.table(spark, sf, "events"))
+    return asof_join(facts, row_versions(versions, "user_id", "ts", ["event_id"]), **roles.PROFILE).select(
+        "event_id", "user_id", "since", "profile"
+    )
+
+
 def code_labels(spark, sf):
     """Comments with the labels of their codes, from the table of all groups of codes."""
     codes = code_table(spark)
@@ -546,6 +586,8 @@ QUERIES: dict[str, Query] = {
     "rules_flatten": rules_flatten,
     "rules_latest": rules_latest,
     "dim_upsert_latest": dim_upsert_latest,
+    "dim_upsert_batches": dim_upsert_batches,
+    "asof_enrich": asof_enrich,
     "code_labels": code_labels,
     "dirty_quarantine": dirty_quarantine,
     "log_split_page": log_split_page,

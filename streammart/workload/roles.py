@@ -305,6 +305,23 @@ def _envelope(name: str, kind, data) -> F.Column:
     ).alias("value")
 
 
+#: How page views meet the profiles of their users.
+PROFILE = {
+    "on": ("user_id", "user_id"),
+    "times": ("ts", "ts"),
+    "columns": {"ts": "since", "props": "profile"},
+    "removed": "removed",
+}
+
+
+def profile_feeds(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Views, clicks and purchases as facts; sign-ups and errors as changes of a user's profile."""
+    kind = F.col("event_type")
+    facts = events.filter(kind.isin("view", "click", "purchase")).select("event_id", "user_id", "ts")
+    changes = events.filter(kind.isin("signup", "error"))
+    return facts, changes.select("event_id", "user_id", "ts", "props", (kind == "error").alias("removed"))
+
+
 #: (source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend)
 RULE_ROWS = [
     ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id,total_amount", "id", None),

@@ -6,7 +6,7 @@ from conftest import rows
 from streammart.functions.jsons import split_dirty
 from streammart.operators import changes as ch
 from streammart.schemas import RULES
-from streammart.sources.dim_table import SET_COLUMNS, DimTable, dim_schema, dims_of_rules
+from streammart.sources.dim_table import REMOVED, SET_COLUMNS, DimTable, dim_schema, dims_of_rules
 from streammart.sources.topics import Topics
 from streammart.streaming.jobs import rules_from_feed
 from streammart.sources.tables import read_rules
@@ -122,9 +122,94 @@ def test_dim_table_keeps_columns_a_change_does_not_set(spark, tmp_path):
     assert rows(dim.read(spark)) == [("1", "ann", "x"), ("2", "bob", None)]
     change(2, ("1", None, None, 4, ["id", "name"]), ("1", None, "y", 5, ["id", "gender"]))
     assert rows(dim.read(spark)) == [("1", None, "y"), ("2", "bob", None)]
-    versions = spark.read.json(f"{tmp_path}/d/versions").count()
+    version = dim.version(spark)
     change(3)
-    assert spark.read.json(f"{tmp_path}/d/versions").count() == versions
+    assert dim.version(spark) == version, "a batch without changes writes nothing"
+
+
+def stored_files(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*.parquet"))
+
+
+def dim_changes(spark, *data):
+    schema = f"id STRING, name STRING, gender STRING, n INT, {SET_COLUMNS} ARRAY<STRING>, {REMOVED} BOOLEAN"
+    return spark.createDataFrame(list(data), schema)
+
+
+BOTH = ["id", "name", "gender"]
+
+
+def test_an_update_writes_to_the_buckets_it_touches(spark, tmp_path):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"), buckets=8, max_changes=2)
+    many = dim_changes(spark, *[(str(k), f"n{k}", "f", k, BOTH, None) for k in range(200)])
+    dim.upsert(many, ["n"], 0)
+    first = stored_files(tmp_path)
+    assert len(first) == 8, "one file for each bucket"
+    dim.upsert(dim_changes(spark, ("7", "seven", None, 1, ["name"], None)), ["n"], 1)
+    second = stored_files(tmp_path)
+    assert set(first) <= set(second) and len(second) == 9, "one key, one more file"
+    dim.upsert(dim_changes(spark, ("7", "7b", None, 1, ["name"], None)), ["n"], 2)
+    third = stored_files(tmp_path)
+    assert len(third) == 11, "one more file, and the bucket compacted into one"
+    expected = sorted((str(k), f"n{k}" if k != 7 else "7b", "f") for k in range(200))
+    assert rows(dim.read(spark)) == expected
+    dim.compact(spark)
+    assert rows(dim.read(spark)) == expected
+    assert rows(dim.lookup(spark, "7")) == [("7", "7b", "f")] and dim.lookup(spark, "none").count() == 0
+    paths = dim.lookup(spark, "7").inputFiles()
+    assert len(paths) == 1
+
+
+def test_a_batch_number_counts_for_its_writer_only(spark, tmp_path):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"))
+    put = lambda batch, writer, *data: dim.upsert(dim_changes(spark, *data), ["n"], batch, writer)
+    put(5, "job/one", ("1", "old", "f", 1, BOTH, None))
+    put(5, "job/one", ("1", "repeated", "f", 1, BOTH, None), ("9", "x", "x", 1, BOTH, None))
+    put(0, "job/two", ("1", "new", "f", 1, BOTH, None), ("2", "key", None, 1, BOTH, None))
+    assert rows(dim.read(spark)) == [("1", "new", "f"), ("2", "key", None)]
+    put(0, "job/two", ("1", "repeated", "f", 1, BOTH, None))
+    put(6, "job/one", ("2", "later", None, 1, ["name"], None))
+    assert rows(dim.read(spark)) == [("1", "new", "f"), ("2", "later", None)]
+
+
+def test_removed_rows(spark, tmp_path):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"), buckets=2, max_changes=3)
+    put = lambda batch, *data: dim.upsert(dim_changes(spark, *data), ["n"], batch)
+    put(0, ("1", "a", "f", 1, BOTH, None), ("2", "b", "m", 1, BOTH, False), ("3", "c", "m", 1, BOTH, None))
+    put(1, ("1", None, None, 2, None, True), ("2", None, None, 2, None, True), ("2", "back", "zz", 3, ["name"], None))
+    put(2, ("3", "set and removed", "f", 4, BOTH, None), ("3", None, None, 5, None, True))
+    assert rows(dim.read(spark)) == [("2", "back", None)], "what was set before the removal is gone"
+    put(3, ("1", None, "again", 6, ["gender"], None))
+    assert rows(dim.read(spark)) == [("1", None, "again"), ("2", "back", None)]
+    dim.compact(spark)
+    assert rows(dim.read(spark)) == [("1", None, "again"), ("2", "back", None)]
+
+
+def test_versions_are_kept_and_then_go(spark, tmp_path):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"), buckets=2, max_changes=3, keep=4)
+    counts = []
+    for batch in range(20):
+        dim.upsert(dim_changes(spark, (str(batch % 5), f"b{batch}", None, 1, BOTH, None)), ["n"], batch)
+        counts.append(len(stored_files(tmp_path)))
+    # Of each bucket: changes and whole rows of the newest version, and of the one before its compaction.
+    assert max(counts) <= 2 * 2 * (3 + 2), "the number of files does not grow with the batches"
+    newest = dim.version(spark)
+    assert dim.read(spark, newest - 3).count() == 5
+    with pytest.raises(ValueError, match="not kept"):
+        dim.read(spark, 0)
+    assert rows(dim.read(spark), "id", "name") == [(str(k), f"b{15 + k}") for k in range(5)]
+
+
+def test_an_interrupted_update_leaves_no_trace(spark, tmp_path, monkeypatch):
+    dim = DimTable(str(tmp_path / "d"), dim_schema("id,name,gender"))
+    dim.upsert(dim_changes(spark, ("1", "a", "f", 1, BOTH, None)), ["n"], 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(DimTable, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            dim.upsert(dim_changes(spark, ("1", "half", "f", 1, BOTH, None)), ["n"], 1)
+    assert rows(dim.read(spark)) == [("1", "a", "f")]
+    dim.upsert(dim_changes(spark, ("1", "whole", "f", 1, BOTH, None)), ["n"], 1)
+    assert rows(dim.read(spark)) == [("1", "whole", "f")]
 
 
 def test_dim_table_has_the_columns_of_all_its_rules(spark, tmp_path):
