@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -14,13 +13,6 @@ from streammart.functions.times import as_stream_time, seconds
 from streammart.operators.visits import is_entry, visit_date
 
 
-#: Keep microseconds when a row is held in state as text.
-_EXACT_TIMES = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
 def daily_unique_visits_stream(
     log: DataFrame,
     mid: str = "mid",
@@ -99,63 +91,6 @@ def repair_is_new_stream(
     return repaired.unionByName(log.filter(F.coalesce(~claims, F.lit(True))))
 
 
-class _Unfollowed(StatefulProcessor):
-    """Holds one stretch until no follow-up can come any more.
-
-    State: one list of marks, entries with their row and follow-ups without.  Of
-    the follow-ups at one moment only the last of a micro-batch is stored.
-    """
-
-    def __init__(self, span_us: int):
-        self.span = span_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.marks = handle.getListState("marks", "at BIGINT, tie STRING, row STRING")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        waiting, latest = [], {}
-        for row in rows:
-            at, tie = row["at"], row["tie"]
-            if row["entry"]:
-                waiting.append((at, tie, row["row"]))
-                if len(waiting) >= 1000:
-                    self.marks.appendList(waiting)
-                    waiting = []
-            else:
-                latest[at] = max(latest.get(at, tie), tie)
-        waiting.extend((at, tie, None) for at, tie in latest.items())
-        if waiting:
-            self.marks.appendList(waiting)
-        # One past the last moment a follow-up of this stretch can carry.
-        self.handle.registerTimer((key[1] + 2) * self.span // 1000)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ties = {}
-        for at, tie, row in self.marks.get():
-            if row is None:
-                ties[at] = max(ties.get(at, tie), tie)
-        times = sorted(ties)
-        for at, tie, row in self.marks.get():
-            if row is None or ties.get(at, tie) > tie:
-                continue
-            i = bisect_right(times, at)
-            if i == len(times) or times[i] - at >= self.span:
-                yield Row(row=row)
-        self.marks.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def _as_text(log: DataFrame, column: str):
-    """A tiebreak as text of the same order; numbers (not below 0) are padded."""
-    if isinstance(log.schema[column].dataType, T.StringType):
-        return F.col(column)
-    return F.lpad(F.col(column).cast("string"), 20, "0")
-
-
 def detect_bounces_stream(
     log: DataFrame,
     tiebreak: str,
@@ -165,31 +100,31 @@ def detect_bounces_stream(
     last_page_id: str = "last_page_id",
     delay: str = "0 seconds",
 ) -> DataFrame:
-    """Streaming form of ``detect_bounces``.
-
-    As in batch, a visitor's rows are cut into stretches of ``within``, and
-    follow-ups are also sent to the stretch before, so state is kept per visitor
-    and stretch and is cleared as the watermark passes.  A bounce is reported
-    when its stretch and the next are over.
+    """Streaming form of ``detect_bounces``: an outer join of entries with follow-ups in time.
+
+    Time is cut into slots of ``within``.  An entry's waiting time covers the end of its own slot and the
+    beginning of the next, so of a visitor's follow-ups in a slot only the first and the last can matter:
+    the last of the own slot comes after the entry if any does, and the first of the next comes in time if
+    any does.  The join therefore makes at most two pairs per entry, however many pages a visitor loads.  An
+    entry left without a pair is reported when its own slot and the next are over.  ``tiebreak`` is a
+    column of any type that has an order.  Rows without a visitor or a time are left out.
     """
     span = seconds(within) * 1_000_000
-    log = as_stream_time(log, event_time).withWatermark(event_time, delay)
-    at = F.unix_micros(F.col(event_time))
-    own = F.call_function("div", at, F.lit(span))
+    log = as_stream_time(log, event_time).filter(F.col(mid).isNotNull() & F.col(event_time).isNotNull())
+    log = log.withWatermark(event_time, delay)
     entry = is_entry(last_page_id)
-    rows = log.select(
-        F.col(mid).alias("mid"),
-        F.explode(F.when(entry, F.array(own)).otherwise(F.array(own, own - 1))).alias("stretch"),
-        F.col(event_time).alias("event_time"),
-        at.alias("at"),
-        _as_text(log, tiebreak).alias("tie"),
-        entry.alias("entry"),
-        F.when(entry, F.to_json(F.struct(*log.columns), _EXACT_TIMES)).alias("row"),
+    place = F.struct(F.unix_micros(F.col(event_time)).alias("at"), F.col(tiebreak).alias("tie"))
+    slots = (
+        log.filter(~entry)
+        .groupBy(F.col(mid).alias("_mid"), F.window(event_time, within).alias("_slot"))
+        .agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+        .select("_mid", F.window_time("_slot").alias("_slot_end"), "_first", "_last")
     )
-    found = rows.groupBy("mid", "stretch").transformWithState(
-        statefulProcessor=_Unfollowed(span),
-        outputStructType=T.StructType([T.StructField("row", T.StringType())]),
-        outputMode="Append",
-        timeMode="EventTime",
+    own_or_next = (F.col("_slot_end") >= F.col(event_time)) & (
+        F.col("_slot_end") < F.col(event_time) + F.expr(f"INTERVAL '{2 * seconds(within)}' SECOND")
     )
-    return found.select(F.from_json("row", log.schema, _EXACT_TIMES).alias("_r")).select("_r.*")
+    in_time = lambda p: (p > place) & (p["at"] < F.unix_micros(F.col(event_time)) + span)
+    follows = in_time(F.col("_first")) | in_time(F.col("_last"))
+    waiting = log.filter(entry)
+    joined = waiting.join(slots, (F.col(mid) == F.col("_mid")) & own_or_next & follows, "left_outer")
+    return joined.filter("_mid IS NULL").select(*log.columns)
