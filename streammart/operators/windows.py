@@ -37,6 +37,28 @@ def tumbling_agg(
     )
 
 
+def union_feeds(
+    feeds: Sequence[DataFrame], delay: str | None, own_watermarks: bool = False, event_time: str = "event_time"
+) -> DataFrame:
+    """Several feeds as one, streams under a watermark ``delay`` behind.
+
+    By default the watermark follows the newest row of any feed: windows never wait, and a feed that runs
+    more than ``delay`` behind another loses rows.  With ``own_watermarks`` each feed has its own and the
+    slowest counts (``spark.sql.streaming.multipleWatermarkPolicy`` is ``min`` by default): a slow feed loses
+    nothing, and ``delay`` need only cover the disorder within a feed.  Then a feed that has not sent a row
+    yet, or falls silent, holds all windows back; use it where every feed keeps sending.
+    """
+
+    def marked(df: DataFrame) -> DataFrame:
+        return as_stream_time(df, event_time).withWatermark(event_time, delay) if df.isStreaming and delay is not None else df
+
+    union = None
+    for df in feeds:
+        df = marked(df) if own_watermarks else df
+        union = df if union is None else union.unionByName(df)
+    return union if own_watermarks else marked(union)
+
+
 def running_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
     """The same without windows: totals so far.  On a stream use update mode."""
     return df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggs.items()])

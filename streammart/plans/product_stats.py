@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streammart.functions.times import time_text
+from streammart.functions.times import as_stream_time, time_text
 from streammart.operators.joins import enrich
-from streammart.operators.windows import tumbling_agg
+from streammart.operators.windows import tumbling_agg, union_feeds
 from streammart.plans.order_wide import Dims
 from streammart.schemas import APPRAISE_GOOD, MONEY_SUM, PRODUCT_STATS
 
@@ -78,14 +78,15 @@ def product_measures(
     size: str = "2 seconds",
     delay: str = "10 seconds",
     single_row_zero: bool = False,
+    own_watermarks: bool = False,
 ) -> DataFrame:
     """Sums and distinct order counts by sku and window.
 
     ``single_row_zero`` gives 0 as the distinct counts of a window that holds one
-    row only.  Rows without a sku are left out.
+    row only.  Rows without a sku are left out.  ``own_watermarks`` is that of ``union_feeds``.
     """
     if any(df.isStreaming for df, _ in feeds):
-        return _stream_measures(feeds, size, delay, single_row_zero)
+        return _stream_measures(feeds, size, delay, single_row_zero, own_watermarks)
     return _batch_measures(feeds, size, single_row_zero)
 
 
@@ -134,27 +135,36 @@ def _batch_measures(feeds, size: str, single_row_zero: bool) -> DataFrame:
     )
 
 
-def _stream_measures(feeds, size: str, delay: str, single_row_zero: bool) -> DataFrame:
-    """One windowed aggregate over the union of all feeds.
+def _stream_measures(feeds, size: str, delay: str, single_row_zero: bool, own_watermarks: bool) -> DataFrame:
+    """Two windowed aggregates in a chain over the union of all feeds.
 
-    Streams allow no distinct aggregate, so the ids of a window are held as a
-    set, as large as one sku has orders in one window.
+    The first keeps one row per window, sku and order, and one for all rows without an order; the second
+    adds them up, an order counting 1.  Streams allow no distinct aggregate, and a set of ids in the state
+    of a sku would grow with its orders; here no row of state grows, and all go as their window ends.
     """
-    union = None
+    ids = list(DISTINCT.values())
+    rows = []
     for df, own in feeds:
-        rows = df.filter(F.col("sku_id").isNotNull()).select(
-            F.col("event_time").cast("timestamp").alias("event_time"),
-            F.col("sku_id").cast("bigint").alias("sku_id"),
-            *[own.get(m, _zero()).cast("bigint").alias(m) for m in COUNTS],
-            *[own.get(m, _zero()).cast("decimal(16,2)").alias(m) for m in AMOUNTS],
-            *[own.get(i, F.lit(None)).cast("bigint").alias(i) for i in DISTINCT.values()],
+        value = lambda m, kind: own.get(m, F.lit(0)).cast(kind).alias(m)
+        rows.append(
+            as_stream_time(df, "event_time").filter(F.col("sku_id").isNotNull()).select(
+                "event_time",
+                F.col("sku_id").cast("bigint").alias("sku_id"),
+                *[value(m, "bigint") for m in COUNTS],
+                *[value(m, "decimal(16,2)") for m in AMOUNTS],
+                *[own.get(i, F.lit(None)).cast("bigint").alias(i) for i in ids],
+            )
         )
-        union = rows if union is None else union.unionByName(rows)
-    aggs = {"_rows": F.count(F.lit(1))}
-    aggs.update({m: F.sum(m) for m in COUNTS})
-    aggs.update({m: F.sum(m) for m in AMOUNTS})
-    aggs.update({m: F.size(F.collect_set(i)).cast("bigint") for m, i in DISTINCT.items()})
-    return _finish(tumbling_agg(union, ["sku_id"], aggs, size, delay=delay), single_row_zero)
+    sums = {m: F.sum(m) for m in COUNTS} | {m: F.sum(m).cast(MONEY_SUM) for m in AMOUNTS}
+    once = union_feeds(rows, delay, own_watermarks).groupBy(F.window("event_time", size).alias("_window"), "sku_id", *ids).agg(
+        F.count(F.lit(1)).alias("_rows"), *[c.alias(m) for m, c in sums.items()]
+    )
+    counted = once.select(
+        F.window_time("_window").alias("event_time"), "sku_id", "_rows", *sums,
+        *[F.col(i).isNotNull().cast("bigint").alias(m) for m, i in DISTINCT.items()],
+    )
+    aggs = {"_rows": F.sum("_rows"), **sums, **{m: F.sum(m) for m in DISTINCT}}
+    return _finish(tumbling_agg(counted, ["sku_id"], aggs, size), single_row_zero)
 
 
 def _finish(df: DataFrame, single_row_zero: bool) -> DataFrame:
@@ -175,9 +185,5 @@ def with_product_dims(stats: DataFrame, dims: Dims, small: bool | None = None) -
     return out.select(*PRODUCT_STATS)
 
 
-def _zero(kind="bigint") -> Column:
-    return F.lit(0).cast(kind)
-
-
 def _sku(column: str) -> Column:
     return F.col(column).try_cast("bigint")

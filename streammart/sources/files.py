@@ -43,3 +43,12 @@ def write_once(spark: SparkSession, path: str, text: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     files, where = _located(spark, path)
     files.delete(where, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a file or folder its final name, at once; False if that name is taken already."""
+    files, where = _located(spark, target)
+    if files.exists(where):
+        return False
+    files.mkdirs(where.getParent())
+    return files.rename(_located(spark, source)[1], where)

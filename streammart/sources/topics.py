@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from streammart.functions.jsons import typed
+from streammart.sources import files
 
 #: Every topic read has these columns.  The last two are the record's unique
 #: position, which orders records of equal time and never changes on a re-read.
@@ -18,6 +22,11 @@ from streammart.functions.jsons import typed
 COLUMNS = ("value", "topic", "src_partition", "src_offset")
 
 
+def checkpoint_id(spark: SparkSession) -> str:
+    """What tells the running query's checkpoint from any other; batch numbers start anew with each."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 @dataclass(frozen=True)
 class Topics:
     """Where topics live.
@@ -100,6 +109,11 @@ class Topics:
 
     # -- writing ---------------------------------------------------------
 
+    @staticmethod
+    def source(spark: SparkSession, job: str) -> str:
+        """A job under the checkpoint of the streaming query that is running."""
+        return f"{job}.{checkpoint_id(spark)}"
+
     def write(
         self, df: DataFrame, topic: str, job: str, trigger: dict | None = None
     ) -> StreamingQuery:
@@ -109,8 +123,7 @@ class Topics:
     def write_routed(self, df: DataFrame, job: str, trigger: dict | None = None) -> StreamingQuery:
         """Send each record of a stream to the topic named in its ``topic`` column.
 
-        On folders every micro-batch writes a place of its own, and replaces it
-        when Spark repeats the batch after a failure: each record arrives once.
+        On folders each record arrives once, also when Spark repeats a micro-batch after a failure.
         """
         records = df.select("topic", "value")
         writer = records.writeStream.queryName(job).trigger(**(trigger or {"availableNow": True}))
@@ -122,21 +135,39 @@ class Topics:
                 .options(**self.options)
                 .start()
             )
-        return writer.foreachBatch(lambda rows, i: self.put(rows, job, i)).start()
+        return writer.foreachBatch(lambda rows, i: self.put(rows, self.source(rows.sparkSession, job), i)).start()
 
     def put(self, records: DataFrame, source: str, batch: int = 0) -> None:
-        """Write one batch of (``topic``, ``value``) records."""
+        """Write one batch of (``topic``, ``value``) records, each once, however often it is repeated.
+
+        On folders the batch is written aside and moved into each topic as a whole, so a reader sees all of
+        its records of a topic or none.  A batch that was moved before stays as it is: a reader may have
+        taken it.  A note of every finished batch spares writing it again.  ``source`` has to tell a
+        job's checkpoint from any other, as batch numbers start anew with each.  On Kafka a repeated batch
+        sends its records again.
+        """
+        spark = records.sparkSession
         if self.bootstrap:
             writer = records.write.format("kafka").options(**self.options)
             writer.option("kafka.bootstrap.servers", self.bootstrap).save()
             return
-        (
-            records.withColumns({"src": F.lit(source), "batch": F.lit(batch)})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "src", "batch")
-            .parquet(self.root)
-        )
+        name = quote(source, safe="")
+        done = f"{self.root}/_done/{name}/{batch:019d}.json"
+        if files.names(spark, done):
+            return
+        aside = f"{self.root}/_aside/{name}-{batch}-{uuid.uuid4().hex}"
+        # Small batches make one file per topic; a topic with many records is split.
+        dealt = records.select("topic", "value").hint("rebalance", "topic")
+        dealt.write.partitionBy("topic").parquet(aside)
+        topics = [n for n in files.names(spark, aside) if n.startswith("topic=")]
+        for topic in topics:
+            self._deliver(spark, f"{aside}/{topic}", f"{self.root}/{topic}/src={name}/batch={batch}")
+        files.write_once(spark, done, json.dumps({"topics": topics}))
+        files.remove(spark, aside)
+
+    @staticmethod
+    def _deliver(spark: SparkSession, written: str, place: str) -> None:
+        files.move(spark, written, place)
 
     def checkpoint(self, spark: SparkSession, job: str) -> str:
         """The job's checkpoint, which has to outlive this process: a root must be named."""

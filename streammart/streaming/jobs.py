@@ -21,7 +21,7 @@ from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats
 from streammart.sources.dim_table import SET_COLUMNS, dims_of_rules
 from streammart.sources.tables import stats_sink
-from streammart.sources.topics import Topics
+from streammart.sources.topics import Topics, checkpoint_id
 from streammart.streaming.visits import (
     daily_unique_visits_stream,
     detect_bounces_stream,
@@ -38,7 +38,8 @@ class Warehouse:
     ``rules`` and ``dims`` are called for every micro-batch, so each batch works
     with the rules and dimension rows of its moment.  ``sinks`` replaces the
     Parquet statistics table of a job by a ``foreachBatch`` function, such as
-    ``streammart.sources.tables.jdbc_sink``.
+    ``streammart.sources.tables.jdbc_sink``.  ``own_watermarks`` gives each feed of the visitor and
+    product statistics a watermark of its own (see ``streammart.operators.windows.union_feeds``).
     """
 
     topics: Topics
@@ -48,6 +49,7 @@ class Warehouse:
     dims: Callable[[SparkSession], ow.Dims] | None = None
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     sinks: dict[str, Callable[[DataFrame, int], None]] = field(default_factory=dict)
+    own_watermarks: bool = False
 
     def start(self, df: DataFrame, job: str, write: Callable, mode: str = "append"):
         """Run a stream through a ``foreachBatch`` function under the job's checkpoint."""
@@ -64,11 +66,6 @@ class Warehouse:
         return self.sinks.get(job) or stats_sink(f"{self.stats_root}/{job}", list(columns))
 
 
-def checkpoint_id(spark: SparkSession) -> str:
-    """What tells the running query's checkpoint from any other; batch numbers start anew with each."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-
-
 def rules_from_feed(topics: Topics, topic: str) -> Callable[[SparkSession], DataFrame]:
     """Rules as the change feed of their table leaves them (the feed is small).
 
@@ -130,7 +127,7 @@ def db_base(
             .unionByName(unrouted.select(F.lit(unrouted_topic).alias("topic"), "value"))
             .unionByName(dirty.select(F.lit(unrouted_topic).alias("topic"), "value"))
         )
-        wh.topics.put(outgoing, "db_base", batch_id)
+        wh.topics.put(outgoing, wh.topics.source(spark, "db_base"), batch_id)
         changed = {r["sink_table"] for r in to_dims.select("sink_table").distinct().collect()}
         for name, dim in dims_of_rules(rules, wh.dim_root).items():
             dim.create(spark)
@@ -195,7 +192,8 @@ def order_wide(
 
 
 def _put(wh: Warehouse, rows: DataFrame, topic: str, job: str, batch_id: int) -> None:
-    wh.topics.put(as_value(rows).withColumn("topic", F.lit(topic)), job, batch_id)
+    source = wh.topics.source(rows.sparkSession, job)
+    wh.topics.put(as_value(rows).withColumn("topic", F.lit(topic)), source, batch_id)
 
 
 def _wide(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -228,6 +226,7 @@ def visitor_stats_job(
         _pages(spark, wh, "dwm_user_jump_detail"),
         size,
         delay,
+        wh.own_watermarks,
     )
     return wh.start(stats, "visitor_stats", wh.stats("visitor_stats", schemas.VISITOR_STATS))
 
@@ -253,6 +252,7 @@ def product_stats_job(
         ),
         size,
         delay,
+        own_watermarks=wh.own_watermarks,
     )
     sink = wh.stats("product_stats", schemas.PRODUCT_STATS)
 

@@ -504,5 +504,7 @@ FROM wide
 WHERE l_shipdate BETWEEN o_orderdate - INTERVAL 5 DAY AND o_orderdate + INTERVAL 5 DAY
 GROUP BY ALL""",
         "stream_keyword_stats": ORACLES["keyword_stats"],
+        "stream_payment_wide": ORACLES["payment_wide_interval"],
+        "stream_product_stats": ORACLES["product_stats"],
     }
 )

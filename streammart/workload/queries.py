@@ -51,7 +51,7 @@ ORDER_DAY = 19970528
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _money(df: DataFrame, *columns: str) -> DataFrame:
+def money(df: DataFrame, *columns: str) -> DataFrame:
     """Decimal columns as doubles, for comparison."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
@@ -249,7 +249,7 @@ def _wide(spark, sf, hot=None, **bounds) -> DataFrame:
 
 def order_wide_interval(spark, sf):
     wide = _wide(spark, sf, lower="-5 days", upper="5 days")
-    return _money(
+    return money(
         wide.select(
             "order_id", "detail_id", "sku_id", "sku_num", "user_id", "province_id", "order_status",
             "create_date", "create_hour", "total_amount", "split_total_amount",
@@ -268,16 +268,16 @@ def _paid(spark, sf, hot=None, **bounds) -> DataFrame:
 
 def payment_wide_interval(spark, sf):
     paid = _paid(spark, sf, lower="-5 days", upper="5 days")
-    return _payment_columns(paid)
+    return payment_columns(paid)
 
 
 def payment_wide_all(spark, sf):
     """All payments with all lines of their orders."""
-    return _payment_columns(_paid(spark, sf, **ANY_TIME))
+    return payment_columns(_paid(spark, sf, **ANY_TIME))
 
 
-def _payment_columns(paid: DataFrame) -> DataFrame:
-    return _money(
+def payment_columns(paid: DataFrame) -> DataFrame:
+    return money(
         paid.select(
             "payment_id", "order_id", "detail_id", "sku_id", "user_id", "subject",
             "payment_create_time", "order_create_time", "total_amount", "split_total_amount",
@@ -412,7 +412,7 @@ def _products(spark, sf, size: str = "1 day", **options) -> DataFrame:
 
 
 def product_stats_day(spark, sf):
-    return _money(
+    return money(
         _products(spark, sf), "sku_price", "order_amount", "payment_amount", "refund_amount"
     )
 
@@ -423,7 +423,7 @@ def product_stats_single_row_quirk(spark, sf):
 
 
 def province_stats_day(spark, sf):
-    return _money(province_stats(_province_wide(spark, sf), "1 day"), "order_amount")
+    return money(province_stats(_province_wide(spark, sf), "1 day"), "order_amount")
 
 
 def province_distinct_orders(spark, sf):
@@ -487,11 +487,11 @@ def tumble_sql(spark, sf):
 
 
 def report_gmv(spark, sf):
-    return _money(reports.gmv(_sales(spark, sf), ORDER_DAY), "gmv")
+    return money(reports.gmv(_sales(spark, sf), ORDER_DAY), "gmv")
 
 
 def report_gmv_empty_day(spark, sf):
-    return _money(reports.gmv(_sales(spark, sf), 19000101), "gmv")
+    return money(reports.gmv(_sales(spark, sf), 19000101), "gmv")
 
 
 def _sales(spark, sf) -> DataFrame:
@@ -501,15 +501,15 @@ def _sales(spark, sf) -> DataFrame:
 
 
 def report_trademark(spark, sf):
-    return _money(reports.by_trademark(_sales(spark, sf), ORDER_DAY), "order_amount")
+    return money(reports.by_trademark(_sales(spark, sf), ORDER_DAY), "order_amount")
 
 
 def report_category3(spark, sf):
-    return _money(reports.by_category3(_sales(spark, sf), ORDER_DAY), "order_amount")
+    return money(reports.by_category3(_sales(spark, sf), ORDER_DAY), "order_amount")
 
 
 def report_spu(spark, sf):
-    return _money(reports.by_spu(_sales(spark, sf), ORDER_DAY), "order_amount")
+    return money(reports.by_spu(_sales(spark, sf), ORDER_DAY), "order_amount")
 
 
 def _visitor_day(spark, sf) -> DataFrame:
@@ -522,11 +522,11 @@ def report_visitor_flag(spark, sf):
 
 def report_visitor_ratios(spark, sf):
     rated = reports.with_ratios(reports.by_visitor_flag(_visitor_day(spark, sf), VISIT_DAY))
-    return _money(rated, "uj_rate", "dur_per_sv", "pv_per_sv")
+    return money(rated, "uj_rate", "dur_per_sv", "pv_per_sv")
 
 
 def report_visitor_pivot(spark, sf):
-    return _money(reports.new_versus_old(_visitor_day(spark, sf), VISIT_DAY), "new", "old")
+    return money(reports.new_versus_old(_visitor_day(spark, sf), VISIT_DAY), "new", "old")
 
 
 def report_hour(spark, sf):
@@ -539,7 +539,7 @@ def report_hour_dense(spark, sf):
 
 def report_province(spark, sf):
     stats = province_stats(_province_wide(spark, sf), "1 day")
-    return _money(reports.by_province(stats, ORDER_DAY), "order_amount")
+    return money(reports.by_province(stats, ORDER_DAY), "order_amount")
 
 
 def report_keyword_weighted(spark, sf):

@@ -135,11 +135,14 @@ def details_of(lines: DataFrame) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payments_of(table(spark, sf_dir, "orders"))
+
+
+def payments_of(orders: DataFrame) -> DataFrame:
     """Payments of the finished orders, one day after ordering."""
     paid_at = F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")
     return (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'F'")
+        orders.filter("o_orderstatus = 'F'")
         .select(
             F.col("o_orderkey").alias("id"),
             F.col("o_orderkey").alias("order_id"),
@@ -155,10 +158,13 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refunds_of(table(spark, sf_dir, "lineitem"))
+
+
+def refunds_of(lines: DataFrame) -> DataFrame:
     """The returned order lines."""
     return (
-        table(spark, sf_dir, "lineitem")
-        .filter("l_returnflag = 'R'")
+        lines.filter("l_returnflag = 'R'")
         .select(
             F.col("l_partkey").alias("sku_id"),
             F.col("l_orderkey").alias("order_id"),
@@ -169,11 +175,14 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return product_events_of(table(spark, sf_dir, "events"), kind)
+
+
+def product_events_of(events: DataFrame, kind: str) -> DataFrame:
     """Favourites, cart entries or comments: the events of one type."""
     k = _number()
     return (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == kind)
+        events.filter(F.col("event_type") == kind)
         .select(
             k.cast("bigint").alias("sku_id"),
             F.when(k.cast("int") < 50, "1203").otherwise("1201").alias("appraise"),

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from streammart.functions.times import as_stream_time
 from streammart.operators.visits import daily_unique_visits
 from streammart.plans.keyword_stats import keyword_stats
-from streammart.plans.order_wide import join_order_lines
+from streammart.plans.order_wide import join_order_lines, join_payments
+from streammart.plans.product_stats import product_measures, sources, with_product_dims
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats
 from streammart.schemas import PROVINCE_STATS
@@ -27,7 +28,7 @@ from streammart.streaming.visits import (
     repair_is_new_stream,
 )
 from streammart.workload import roles
-from streammart.workload.queries import BOUNCE
+from streammart.workload.queries import ANY_TIME, BOUNCE, money, payment_columns
 
 _END = "2100-01-01 00:00:00"
 
@@ -63,12 +64,11 @@ class Run:
     def closing(self, **values) -> DataFrame:
         return self.spark.range(1).select(*[F.lit(v).alias(n) for n, v in values.items()])
 
-    def events(self) -> DataFrame:
-        return self.table(
-            "events",
-            self.closing(event_id=-1, ts=_END, user_id=-1, event_type="error", value=0.0,
-                         props='{"k": 0}'),
-        )
+    def events(self, *kinds: str) -> DataFrame:
+        """The events, with a closing record of each kind named."""
+        last = self.closing(event_id=-1, ts=_END, user_id=-1, value=0.0, props='{"k": 0}')
+        kind = F.explode(F.array(*[F.lit(k) for k in kinds or ("error",)]))
+        return self.table("events", last.withColumn("event_type", kind))
 
     def pages(self) -> DataFrame:
         return as_stream_time(roles.page_log_of(self.events()), "event_time")
@@ -92,6 +92,11 @@ class Run:
             spark.conf.set("spark.sql.shuffle.partitions", parts)
         return spark.read.schema(stream.schema).parquet(out)
 
+    def chained(self, stream: DataFrame) -> DataFrame:
+        """What a stream writes to its end, as a stream again."""
+        done = self.finish(stream)
+        return self.spark.readStream.schema(done.schema).parquet(done.inputFiles()[0].rsplit("/", 1)[0])
+
 
 def stream_repair_is_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, sf_dir)
@@ -120,21 +125,27 @@ def stream_visitor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.finish(stats)
 
 
-def _orders(run: Run) -> tuple[DataFrame, DataFrame]:
-    """Orders and their lines as streams."""
-    orders = run.table(
+def _order_feed(run: Run) -> DataFrame:
+    return run.table(
         "orders",
         run.closing(o_orderkey=-1, o_custkey=-1, o_orderstatus="F", o_totalprice=0.0,
                     o_orderdate=_END, o_orderpriority=""),
     )
-    customers = roles.table(run.spark, run.sf_dir, "customer")
-    lines = run.table(
+
+
+def _line_feed(run: Run) -> DataFrame:
+    return run.table(
         "lineitem",
         run.closing(l_orderkey=-1, l_partkey=-1, l_suppkey=-1, l_linenumber=1, l_quantity=0.0,
-                    l_extendedprice=0.0, l_discount=0.0, l_tax=0.0, l_returnflag="",
+                    l_extendedprice=0.0, l_discount=0.0, l_tax=0.0, l_returnflag="R",
                     l_linestatus="", l_shipdate=_END),
     )
-    return roles.orders_of(orders, customers), roles.details_of(lines)
+
+
+def _orders(run: Run) -> tuple[DataFrame, DataFrame]:
+    """Orders and their lines as streams."""
+    customers = roles.table(run.spark, run.sf_dir, "customer")
+    return roles.orders_of(_order_feed(run), customers), roles.details_of(_line_feed(run))
 
 
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +185,39 @@ def stream_keyword_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.finish(keyword_stats(texts, size="1 day"))
 
 
+def stream_payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments joined with the wide lines of their orders, both as streams."""
+    run = Run(spark, sf_dir)
+    wide = run.chained(join_order_lines(*_orders(run), **_WITHIN))
+    paid = join_payments(roles.payments_of(_order_feed(run)), wide, lower="-15 days")
+    return payment_columns(run.finish(paid.filter("order_id >= 0")))
+
+
+def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven feeds of the product statistics as streams, with their distinct orders.
+
+    Wide orders and paid lines are written by streams of their own, as the jobs before do.
+    """
+    run = Run(spark, sf_dir)
+    events = lambda: run.events("error", "click", "view", "signup")
+    pages = lambda: as_stream_time(roles.page_log_of(events()), "event_time")
+    wide = join_order_lines(*_orders(run), **ANY_TIME)
+    paid = join_payments(roles.payments_of(_order_feed(run)), run.chained(wide), lower="-15 days")
+    feeds = sources(
+        pages=pages(),
+        displays=pages().filter("ch = 'view'"),
+        favors=roles.product_events_of(events(), "signup"),
+        carts=roles.product_events_of(events(), "view"),
+        order_wide=run.chained(wide),
+        payment_wide=run.chained(paid),
+        refunds=roles.refunds_of(_line_feed(run)),
+        comments=roles.product_events_of(events(), "error"),
+    )
+    stats = run.finish(product_measures(feeds, "1 day", own_watermarks=True)).filter("stt < '2099'")
+    named = with_product_dims(stats, roles.dims(spark, sf_dir))
+    return money(named, "sku_price", "order_amount", "payment_amount", "refund_amount")
+
+
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_repair_is_new": stream_repair_is_new,
     "stream_daily_unique_visit": stream_daily_unique_visit,
@@ -182,4 +226,6 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_order_wide": stream_order_wide,
     "stream_province_stats": stream_province_stats,
     "stream_keyword_stats": stream_keyword_stats,
+    "stream_payment_wide": stream_payment_wide,
+    "stream_product_stats": stream_product_stats,
 }

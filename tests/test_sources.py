@@ -41,6 +41,39 @@ def test_records_go_to_the_topic_they_name(spark, tmp_path):
     assert rows(topics.read(spark, "y", False), "value") == [("2",)]
 
 
+def test_a_batch_that_was_cut_short_is_finished(spark, tmp_path, monkeypatch):
+    topics = Topics(root=str(tmp_path / "t"))
+    batch = records(spark, *[(f"topic{k % 3}", str(k)) for k in range(9)])
+    moved = []
+
+    def dying(spark, written, place):
+        if len(moved) == 1:
+            raise OSError("lost")
+        moved.append(place)
+        real(spark, written, place)
+
+    real = Topics._deliver
+    with monkeypatch.context() as patch:
+        patch.setattr(Topics, "_deliver", staticmethod(dying))
+        with pytest.raises(OSError):
+            topics.put(batch, "job", 4)
+    before = [topics.read(spark, f"topic{k}", False).count() for k in range(3)]
+    assert sorted(before) == [0, 0, 3]
+    topics.put(batch, "job", 4)
+    topics.put(batch, "job", 4)
+    assert [topics.read(spark, f"topic{k}", False).count() for k in range(3)] == [3, 3, 3]
+    topics.put(records(spark, ("topic1", "x")), "job.other-checkpoint", 4)
+    assert topics.read(spark, "topic1", False).count() == 4
+
+
+def test_a_small_batch_is_one_file_per_topic(spark, tmp_path):
+    topics = Topics(root=str(tmp_path / "t"))
+    many = spark.range(2000).repartition(8).select(F.concat(F.lit("t"), F.col("id") % 5).alias("topic"), F.col("id").cast("string").alias("value"))
+    topics.put(many, "job", 0)
+    assert len(list((tmp_path / "t").glob("topic=*/**/*.parquet"))) == 5
+    assert topics.read(spark, "t3", False).count() == 400
+
+
 def test_sql_view_over_a_topic(spark, tmp_path):
     topics = Topics(root=str(tmp_path / "t"))
     topics.put(records(spark, ("f", '{"sku_id":7,"create_time":"2024-01-01 10:00:01"}')), "seed")
