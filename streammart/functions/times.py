@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streammart.schemas import TIME_FORMAT
@@ -35,7 +36,10 @@ def day_number(ts: Column | str) -> Column:
 
 
 def today_number() -> int:
-    return int(dt.date.today().strftime("%Y%m%d"))
+    """Today as such an integer, in the zone of the running session."""
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else None
+    return int(dt.datetime.now(ZoneInfo(zone) if zone else None).strftime("%Y%m%d"))
 
 
 def age_years(birthday: Column | str, as_of: Column) -> Column:

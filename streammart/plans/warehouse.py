@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from streammart.functions.jsons import split_dirty
 from streammart.operators import logs
+from streammart.functions.times import today_number
 from streammart.operators.skew import hot_keys
 from streammart.operators.visits import daily_unique_visits, detect_bounces, repair_is_new
 from streammart.plans import order_wide as ow
@@ -117,7 +118,8 @@ class Batch:
     def report(self, name: str, date: int | None = None, **options) -> DataFrame:
         """A day's report by name; see :data:`REPORTS`."""
         source, build = REPORTS[name]
-        return build(read_stats(self.spark, source, f"{self.root}/{source}"), date, **options)
+        date = date or today_number()
+        return build(read_stats(self.spark, source, f"{self.root}/{source}", date), date, **options)
 
     def chart(self, name: str, date: int | None = None, **options) -> DataFrame:
         """The same as one JSON document for a chart."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -226,6 +227,20 @@ def _folders(manifest: dict) -> set[str]:
     return {*manifest["whole"].values(), *[f for c in manifest["changes"].values() for f in c]}
 
 
+def keyed_sink(table: DimTable, keys: list[str], writer: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps the newest row of each key; for streams in update mode.
+
+    The table's key holds the values of ``keys`` as one JSON text.  ``writer`` names the job's checkpoint,
+    so a repeated micro-batch changes nothing and a restarted one goes on where it stopped.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn(table.key, F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+        table.upsert(rows, [table.key], batch_id, writer)
+
+    return write
+
+
 def dims_of_rules(rules: DataFrame, root: str) -> dict[str, DimTable]:
     """The dimension tables the rules ask for, by name.
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streammart.schemas import CODES, RULES, STATS
+from streammart.sources import files
 
 
 def jdbc_options(url: str, table: str, **more: str) -> dict[str, str]:
@@ -68,10 +69,19 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     ).partitionBy("dt").parquet(path)
 
 
-def read_stats(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A statistics table, which may still be empty, with its day column ``dt``."""
+def read_stats(spark: SparkSession, name: str, path: str, date: int | None = None) -> DataFrame:
+    """A statistics table, which may still be empty, with its day column ``dt``.
+
+    With a ``date`` (``yyyymmdd``) only that day's folder is listed and read, however many days there are.
+    """
     schema = T.StructType([*STATS[name].fields, T.StructField("dt", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    if date is None:
+        return spark.read.schema(schema).parquet(path)
+    text = str(date)
+    day = f"{path}/dt={text[:4]}-{text[4:6]}-{text[6:]}"
+    if not files.names(spark, day):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(day)
 
 
 def stats_sink(path: str, columns: Sequence[str]):

@@ -148,26 +148,42 @@ _UPSERT_ORDER = ("_ts", "_src_partition", "_src_offset")
 
 
 def _pages(spark: SparkSession, wh: Warehouse, topic: str) -> DataFrame:
-    good, _ = split_dirty(logs.parse_app_log(wh.topics.read(spark, topic)))
+    """The usable records of a page topic; ``unique_visit`` and ``user_jump`` report the others."""
+    good, _ = _pages_and_dirty(spark, wh, topic)
     return good
 
 
+def _pages_and_dirty(spark: SparkSession, wh: Warehouse, topic: str) -> tuple[DataFrame, DataFrame]:
+    """Records with a visitor and a time, and all others."""
+    good, dirty = split_dirty(logs.parse_app_log(wh.topics.read(spark, topic)))
+    usable = F.col("mid").isNotNull() & F.col("event_time").isNotNull()
+    aside = dirty.select("value").unionByName(good.filter(~usable).select("value"))
+    return good.filter(usable), aside
+
+
+def _with_dirty(wh: Warehouse, found: DataFrame, topic: str, dirty: DataFrame, job: str):
+    """Write what a job found to its topic, and what it could not read to ``<topic>_dirty``."""
+    rows = found.select(F.lit(topic).alias("topic"), "value")
+    return wh.topics.write_routed(
+        rows.unionByName(dirty.select(F.lit(f"{topic}_dirty").alias("topic"), "value")), job, wh.trigger
+    )
+
+
 def unique_visit(spark: SparkSession, wh: Warehouse, source: str = "dwd_page_log"):
-    """Page log to the first entry page per visitor and day."""
-    found = daily_unique_visits_stream(_pages(spark, wh, source))
-    return wh.topics.write(found, "dwm_unique_visit", "unique_visit", wh.trigger)
+    """Page log to the first entry page per visitor and day; unusable records to a topic of their own."""
+    pages, dirty = _pages_and_dirty(spark, wh, source)
+    return _with_dirty(wh, daily_unique_visits_stream(pages), "dwm_unique_visit", dirty, "unique_visit")
 
 
 def user_jump(
     spark: SparkSession, wh: Warehouse, source: str = "dwd_page_log", within: str = "10 seconds"
 ):
-    """Page log to the entry pages that were not followed."""
+    """Page log to the entry pages that were not followed; unusable records to a topic of their own."""
     position = F.concat_ws("#", "src_partition", F.lpad(F.col("src_offset").cast("string"), 19, "0"))
-    pages = _pages(spark, wh, source).select(
-        "mid", "last_page_id", "event_time", position.alias("position"), "value"
-    )
+    pages, dirty = _pages_and_dirty(spark, wh, source)
+    pages = pages.select("mid", "last_page_id", "event_time", position.alias("position"), "value")
     found = detect_bounces_stream(pages, "position", within)
-    return wh.topics.write(found, "dwm_user_jump_detail", "user_jump", wh.trigger)
+    return _with_dirty(wh, found, "dwm_user_jump_detail", dirty, "user_jump")
 
 
 def order_wide(

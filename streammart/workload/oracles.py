@@ -508,3 +508,45 @@ GROUP BY ALL""",
         "stream_product_stats": ORACLES["product_stats"],
     }
 )
+ORACLES.update(
+    {
+        f"stored_report_{name}": ORACLES[f"report_{same}"]
+        for name, same in [
+            ("gmv", "gmv"), ("trademark", "trademark"), ("category3", "category3"), ("spu", "spu"),
+            ("visitor", "visitor_pivot"), ("hr", "hour_dense"), ("province", "province"),
+        ]
+    }
+)
+ORACLES["stored_report_keyword"] = ORACLES["report_keyword_weighted"].replace(
+    "WHEN 'N' THEN 2 ELSE 1 END", "WHEN 'N' THEN 2 ELSE CASE l_linenumber WHEN 1 THEN 3 ELSE 1 END END"
+)
+ORACLES["stream_running_totals"] = ORACLES["visitor_running_totals"]
+ORACLES["stream_asof_enrich"] = ORACLES["asof_enrich"]
+ORACLES["job_log_base"] = f"""WITH {_RAW_LOG},
+fixed AS (
+  SELECT mid, ch, CASE WHEN is_new = '1' AND rn > 1 THEN '0' ELSE is_new END AS is_new
+  FROM (SELECT *, row_number() OVER (PARTITION BY mid, is_new ORDER BY epoch_ms(ts), event_id) AS rn FROM good))
+SELECT CASE ch WHEN 'error' THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, mid, is_new, count(*) AS n FROM fixed GROUP BY ALL
+UNION ALL SELECT 'dwd_display_log', NULL, NULL, 2 * count(*) FROM fixed WHERE ch = 'view' HAVING count(*) > 0
+UNION ALL SELECT 'ods_base_log_dirty', NULL, NULL, count(*) FROM raw WHERE broken HAVING count(*) > 0"""
+# The rules change before the second and the third part: new order rule; no more user rule, but one for deletes.
+ORACLES["job_db_base"] = """
+WITH changes AS (
+  SELECT 'order_info' AS t, CASE WHEN o_orderstatus IN ('F', 'O') THEN 'insert' ELSE 'update' END AS op, o_orderkey AS id,
+         o_orderkey * 3 // (SELECT max(o_orderkey) + 1 FROM orders) AS part
+  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
+  UNION ALL
+  SELECT 'user_info', CASE c_mktsegment WHEN 'BUILDING' THEN 'delete' ELSE 'insert' END, c_custkey,
+         c_custkey * 3 // (SELECT max(c_custkey) + 1 FROM customer)
+  FROM customer),
+placed AS (
+  SELECT id, CASE
+    WHEN t = 'order_info' AND op = 'insert' THEN CASE part WHEN 0 THEN 'dwd_order_info' ELSE 'dwd_order_new' END
+    WHEN t = 'order_info' THEN 'dim_order_info'
+    WHEN op = 'insert' AND part < 2 THEN 'dim_user_info'
+    WHEN op = 'delete' AND part = 2 THEN 'dwd_user_gone' ELSE 'ods_base_db_unrouted' END AS place
+  FROM changes)
+SELECT place, CASE place WHEN 'dwd_order_info' THEN 'id,total_amount,user_id' WHEN 'dwd_order_new' THEN 'id,note'
+    WHEN 'dwd_user_gone' THEN 'id' WHEN 'dim_order_info' THEN 'id,status' WHEN 'dim_user_info' THEN 'id,name' END AS fields,
+  count(*) AS n, CAST(sum(id) AS BIGINT) AS ids
+FROM placed GROUP BY ALL"""

@@ -406,14 +406,14 @@ def _product_feeds(spark, sf):
     )
 
 
-def _products(spark, sf, size: str = "1 day", **options) -> DataFrame:
+def products(spark, sf, size: str = "1 day", **options) -> DataFrame:
     stats = product_measures(_product_feeds(spark, sf), size, **options)
     return with_product_dims(stats, roles.dims(spark, sf))
 
 
 def product_stats_day(spark, sf):
     return money(
-        _products(spark, sf), "sku_price", "order_amount", "payment_amount", "refund_amount"
+        products(spark, sf), "sku_price", "order_amount", "payment_amount", "refund_amount"
     )
 
 
@@ -423,15 +423,15 @@ def product_stats_single_row_quirk(spark, sf):
 
 
 def province_stats_day(spark, sf):
-    return money(province_stats(_province_wide(spark, sf), "1 day"), "order_amount")
+    return money(province_stats(province_wide(spark, sf), "1 day"), "order_amount")
 
 
 def province_distinct_orders(spark, sf):
-    stats = province_stats(_province_wide(spark, sf), "1 day", distinct_orders=True)
+    stats = province_stats(province_wide(spark, sf), "1 day", distinct_orders=True)
     return stats.select("stt", "province_id", "order_count")
 
 
-def _province_wide(spark, sf) -> DataFrame:
+def province_wide(spark, sf) -> DataFrame:
     """Order lines with their province only: no other dimension is read."""
     return with_province(_wide(spark, sf, **ANY_TIME), roles.provinces(spark, sf))
 
@@ -512,33 +512,33 @@ def report_spu(spark, sf):
     return money(reports.by_spu(_sales(spark, sf), ORDER_DAY), "order_amount")
 
 
-def _visitor_day(spark, sf) -> DataFrame:
+def visitor_day(spark, sf) -> DataFrame:
     return _visitors(spark, sf, "1 hour")
 
 
 def report_visitor_flag(spark, sf):
-    return reports.by_visitor_flag(_visitor_day(spark, sf), VISIT_DAY)
+    return reports.by_visitor_flag(visitor_day(spark, sf), VISIT_DAY)
 
 
 def report_visitor_ratios(spark, sf):
-    rated = reports.with_ratios(reports.by_visitor_flag(_visitor_day(spark, sf), VISIT_DAY))
+    rated = reports.with_ratios(reports.by_visitor_flag(visitor_day(spark, sf), VISIT_DAY))
     return money(rated, "uj_rate", "dur_per_sv", "pv_per_sv")
 
 
 def report_visitor_pivot(spark, sf):
-    return money(reports.new_versus_old(_visitor_day(spark, sf), VISIT_DAY), "new", "old")
+    return money(reports.new_versus_old(visitor_day(spark, sf), VISIT_DAY), "new", "old")
 
 
 def report_hour(spark, sf):
-    return reports.by_hour(_visitor_day(spark, sf), VISIT_DAY)
+    return reports.by_hour(visitor_day(spark, sf), VISIT_DAY)
 
 
 def report_hour_dense(spark, sf):
-    return reports.all_hours(_visitor_day(spark, sf), VISIT_DAY)
+    return reports.all_hours(visitor_day(spark, sf), VISIT_DAY)
 
 
 def report_province(spark, sf):
-    stats = province_stats(_province_wide(spark, sf), "1 day")
+    stats = province_stats(province_wide(spark, sf), "1 day")
     return money(reports.by_province(stats, ORDER_DAY), "order_amount")
 
 
@@ -557,8 +557,18 @@ def report_keyword_weighted(spark, sf):
     return reports.by_keyword(stats, ORDER_DAY)
 
 
+def keyword_sources(spark, sf) -> dict[str, DataFrame]:
+    """Product names as texts of all four kinds: first lines of returned orders were ordered."""
+    lines = roles.table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_linenumber", "l_shipdate")
+    parts = roles.table(spark, sf, "part").select("p_partkey", "p_name")
+    named = enrich(lines, parts, {"l_partkey": "p_partkey"}, {"p_name": "full_word"})
+    back, first = F.col("l_returnflag") == "R", F.col("l_linenumber") == 1
+    kinds = {"SEARCH": F.col("l_returnflag") == "A", "CART": F.col("l_returnflag") == "N", "ORDER": back & first, "CLICK": back & ~first}
+    return {kind: named.filter(which).select("full_word", F.col("l_shipdate").alias("event_time")) for kind, which in kinds.items()}
+
+
 def report_chart_json(spark, sf):
-    hours = reports.all_hours(_visitor_day(spark, sf), VISIT_DAY)
+    hours = reports.all_hours(visitor_day(spark, sf), VISIT_DAY)
     return charts.series(hours, "hr", ["uv_ct", "pv_ct", "new_uv"], [F.col("hr")])
 
 

@@ -8,7 +8,8 @@ waiting time ends; it never shows in a result.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,14 +74,22 @@ class Run:
     def pages(self) -> DataFrame:
         return as_stream_time(roles.page_log_of(self.events()), "event_time")
 
-    def finish(self, stream: DataFrame) -> DataFrame:
-        """Run a stream until its input is used up; what it wrote."""
-        spark, out = self.spark, self.path("out")
+    @contextmanager
+    def settings(self) -> Iterator[None]:
+        """State in RocksDB, in one partition per core."""
+        spark = self.spark
         parts = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        # State is kept in one partition per core.
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
         try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+    def finish(self, stream: DataFrame) -> DataFrame:
+        """Run a stream until its input is used up; what it wrote."""
+        spark, out = self.spark, self.path("out")
+        with self.settings():
             query = (
                 stream.writeStream.format("parquet")
                 .option("checkpointLocation", self.path("checkpoint"))
@@ -88,8 +97,6 @@ class Run:
                 .start(out)
             )
             query.awaitTermination()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", parts)
         return spark.read.schema(stream.schema).parquet(out)
 
     def chained(self, stream: DataFrame) -> DataFrame:
