@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from streammart.operators.asof import asof_join_batches, row_versions
 from streammart.operators.windows import running_agg
 from streammart.operators.visits import daily_unique_visits, detect_bounces
+from streammart.plans.charts import chart
 from streammart.plans.keyword_stats import keyword_stats
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import GROUP, MEASURES, measures
@@ -204,6 +205,18 @@ def _report(name: str, day: int, *amounts: str, **options) -> Callable[[SparkSes
     return run
 
 
+def _chart(name: str, day: int, **options) -> Callable[[SparkSession, str], DataFrame]:
+    table, build = REPORTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stats = read_stats(spark, table, stored_statistics(spark, sf_dir, table), day)
+        return chart(name, build(stats, day, **options))
+
+    run.__name__ = f"report_chart_{name}"
+    run.__doc__ = f"The {name} report of a day, from the stored {table}, as one JSON document."
+    return run
+
+
 JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_log_base": job_log_base,
     "job_db_base": job_db_base,
@@ -217,4 +230,7 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_report_hr": _report("hr", q.VISIT_DAY),
     "stored_report_province": _report("province", q.ORDER_DAY, "order_amount"),
     "stored_report_keyword": _report("keyword", q.ORDER_DAY),
+    "report_chart_visitor": _chart("visitor", q.VISIT_DAY),
+    "report_chart_province": _chart("province", q.ORDER_DAY),
+    "report_chart_keyword": _chart("keyword", q.ORDER_DAY, plain=True),
 }

@@ -393,6 +393,20 @@ WHERE keyword <> '' GROUP BY ALL""",
 SELECT lang, keyword, count(*) AS ct
 FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '\b(cc by-nc 4\.0|apache license|mit license|version 3)\b')) AS keyword FROM documents)
 GROUP BY ALL""",
+    # Each entry the best path takes becomes a word of its own ("the mit" and "license" cover more than "mit license").
+    "keyword_smart": r"""
+WITH marked AS (
+  SELECT lang, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text),
+    '\bapache license, version 2\.0\b', ' qqentryone ', 'g'),
+    '\bthe apache\b', ' qqentrytwo ', 'g'),
+    '\bthe mit\b', ' qqentryfive ', 'g'),
+    '\bmit license\b', ' qqentrythree ', 'g'),
+    '\blicense, version\b', ' qqentryfour ', 'g') AS text FROM documents)
+SELECT lang, CASE keyword WHEN 'qqentryone' THEN 'apache license, version 2.0' WHEN 'qqentrytwo' THEN 'the apache'
+  WHEN 'qqentrythree' THEN 'mit license' WHEN 'qqentryfour' THEN 'license, version' WHEN 'qqentryfive' THEN 'the mit' ELSE keyword END AS keyword,
+  count(*) AS ct
+FROM (SELECT lang, unnest(string_split(regexp_replace(text, '[^\p{L}\p{N}\p{M}]', ' ', 'g'), ' ')) AS keyword FROM marked)
+WHERE keyword <> '' GROUP BY ALL""",
     "tumble_sql": f"""
 SELECT {_bucket('ts', 2 * _HOUR_US)} AS stt, {_bucket('ts', 2 * _HOUR_US, 1)} AS edt, event_type,
        count(*) AS n
@@ -550,3 +564,23 @@ SELECT place, CASE place WHEN 'dwd_order_info' THEN 'id,total_amount,user_id' WH
     WHEN 'dwd_user_gone' THEN 'id' WHEN 'dim_order_info' THEN 'id,status' WHEN 'dim_user_info' THEN 'id,name' END AS fields,
   count(*) AS n, CAST(sum(id) AS BIGINT) AS ids
 FROM placed GROUP BY ALL"""
+
+
+def _document(rows: str, head: str, tail: str, order: str, source: str) -> str:
+    return f"""SELECT '{{"status":0,"data":{head}' || coalesce(string_agg({rows}, ',' ORDER BY {order}), '') || '{tail}}}' AS chart FROM ({source})"""
+
+
+_CENTS = "CAST(CAST({} AS DECIMAL(20,2)) AS VARCHAR)"
+ORACLES["report_chart_province"] = _document(
+    """'{"name":"' || province_name || '","value":' || """ + _CENTS.format("order_amount") + " || '}'",
+    '{"mapData":[', "]}", "province_name", ORACLES["report_province"],
+)
+ORACLES["report_chart_visitor"] = _document(
+    """'{"type":"' || type || '","new":' || """ + _CENTS.format("new") + """ || ',"old":' || """ + _CENTS.format("old") + " || '}'",
+    '{"columns":[{"name":"type","id":"type"},{"name":"new","id":"new"},{"name":"old","id":"old"}],"rows":[', "]}", "line",
+    ORACLES["report_visitor_pivot"],
+)
+ORACLES["report_chart_keyword"] = _document(
+    """'{"name":"' || keyword || '","value":' || ct || '}'""", "[", "]", "plain DESC, keyword",
+    ORACLES["stored_report_keyword"].replace("SELECT keyword, ct", "SELECT keyword, ct, plain", 1),
+)

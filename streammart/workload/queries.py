@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streammart.functions.jsons import split_dirty
-from streammart.functions.text import register_word_table
+from streammart.functions.text import register_word_table, words
 from streammart.functions.times import time_text
 from streammart.operators import changes as ch
 from streammart.operators import logs
@@ -472,6 +472,16 @@ def keyword_dictionary(spark, sf):
     return found.where(F.col("keyword").isin(entries))
 
 
+#: Entries that overlap: from the left, "the apache" hides the longer entry after it.
+SMART_ENTRIES = ["the apache", "apache license, version 2.0", "license, version", "the mit", "mit license", "license"]
+
+
+def keyword_smart(spark, sf):
+    """All words of the documents, overlapping dictionary entries chosen by the best path."""
+    docs = roles.table(spark, sf, "documents").select("lang", words("text", SMART_ENTRIES, smart=True).alias("words"))
+    return docs.select("lang", F.explode("words").alias("keyword")).groupBy("lang", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
 def tumble_sql(spark, sf):
     """A tumbling aggregate written in SQL."""
     return spark.sql(
@@ -627,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "keyword_stats": keyword_stats_day,
     "keyword_table_function": keyword_table_function,
     "keyword_dictionary": keyword_dictionary,
+    "keyword_smart": keyword_smart,
     "tumble_sql": tumble_sql,
     "report_gmv": report_gmv,
     "report_gmv_empty_day": report_gmv_empty_day,
