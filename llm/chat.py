@@ -102,7 +102,11 @@ def masked(formatted: Column, mask: Column) -> Column:
 
 
 def conversation_events(rows: DataFrame, delta: int = DELTA) -> DataFrame:
-    """The log of rows (conv_id, turn, role, text) as a chat client would send it: each text as deltas in order.
+    """The log of rows (conv_id, turn, role, text) as a chat client would send it, from every row by a fixed rule.
+
+    A message is first drafted: one delta with the beginning of its text reversed.  An assistant's draft is
+    followed by the beginning of a reply to it, in the next turn, and then the turn is regenerated, which drops
+    both.  Another speaker edits the draft.  The text itself comes as deltas in order, the edit being the first.
 
     Rows of one conversation and turn are separate messages: the turn of the log is the row's rank by
     turn, role, text in its conversation.
@@ -114,10 +118,27 @@ def conversation_events(rows: DataFrame, delta: int = DELTA) -> DataFrame:
         text.alias("text"),
         F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), text)).alias("turn"),
     )
+    replaced = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    draft = F.reverse(F.substring("text", 1, delta))
+    event = lambda n, turn, kind, role, said: F.struct(
+        F.lit(n).alias("n"), turn.alias("turn"), F.lit(kind).alias("kind"), role.cast("string").alias("role"), said.cast("string").alias("text")
+    )
+    turn, none = F.col("turn"), F.lit(None)
+    drafted = event(0, turn, "delta", F.col("role"), draft)
+    dropped = F.array(drafted, event(1, turn + 1, "delta", F.lit("user"), draft), event(2, turn, "regenerate", none, none))
     count = F.greatest(F.ceil(F.length("text") / delta), F.lit(1)).cast("int")
-    part = F.expr(f"substr(text, (n - 1) * {delta} + 1, {delta})")
-    each = numbered.withColumn("n", F.explode(F.sequence(F.lit(1), count)))
-    return each.select("conv", (F.col("turn").cast("long") * (1 << 31) + F.col("n")).alias("seq"), "turn", F.lit("delta").alias("kind"), "role", part.alias("text"))
+    parts = F.transform(
+        F.sequence(F.lit(1), count),
+        lambda k: F.struct(
+            (k + 2).alias("n"),
+            turn.alias("turn"),
+            F.when((k == 1) & ~replaced, "edit").otherwise("delta").alias("kind"),
+            F.col("role").cast("string").alias("role"),
+            F.substr("text", (k - 1) * delta + 1, F.lit(delta)).alias("text"),
+        ),
+    )
+    each = numbered.select("conv", turn.alias("of"), F.explode(F.concat(F.when(replaced, dropped).otherwise(F.array(drafted)), parts)).alias("e"))
+    return each.select("conv", (F.col("of").cast("long") * (1 << 31) + F.col("e.n")).alias("seq"), "e.turn", "e.kind", "e.role", "e.text")
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

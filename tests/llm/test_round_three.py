@@ -216,3 +216,20 @@ def test_classifier_on_awkward_rows(spark):
         assert len(scored) == 8 and all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in scored)
     none = spark.createDataFrame([], DOCS)
     assert fmquality.score(none, fmquality.learn(none, labels([]))).count() == 0
+
+
+# -- 5 -------------------------------------------------------------------------
+
+
+def test_the_derived_log_has_all_events_on_every_conversation(spark):
+    from llm import chat
+
+    made = [(1, 0, "user", "hello there"), (1, 1, "assistant", "x" * 450), (1, 2, "user", None), (2, 0, "assistant", ""), (2, 0, None, "é<#\\"), (None, None, "user", "a")]
+    events = chat.conversation_events(spark.createDataFrame(made, "conv_id BIGINT, turn INT, role STRING, text STRING"))
+    kinds = {r["kind"]: r["n"] for r in events.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"regenerate": 2, "edit": 4, "delta": 6 + 2 + 4}
+    folded = rows(chat.fold(events), "conv", "role", "text")
+    assert folded == sorted(((c, r or "", t or "") for c, _, r, t in made), key=lambda t: [(x is None, x) for x in t])
+    # Without what edits and regenerations drop, the drafts would stand in the messages.
+    kept = rows(chat.fold(events.where("kind = 'delta'")), "text")
+    assert any("ereht olleh" in t for (t,) in kept)
