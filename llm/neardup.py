@@ -25,7 +25,7 @@ from pyspark.sql.types import BooleanType
 
 from llm.components import components
 from llm.hashing import U64, pieces, seeds, shingle_hashes, word_hashes
-from llm.tables import stored, table
+from llm.tables import set_aside, stored, table
 
 REGISTERS, BASE, RATE = 256, 1.1, 20.0
 #: 42 bands of 6 registers: a pair of similarity 0.8 meets in none of them once in a million times.
@@ -265,12 +265,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without all but the row of smallest key (then the first) of each group; its columns."""
-    numbered = _numbered(docs)
+    own, renamed = set_aside(docs, ["row__"])
+    numbered = _numbered(own)
     rows, membership = classes(numbered, text, key, size, percent)
     placed = rows.where("class is not null").join(membership, "class", "left").withColumn("group_", F.coalesce("component", "class"))
     first = placed.groupBy("group_").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     gone = placed.join(first, "group_").where("row != first.row").select(F.col("row").alias("row__"))
-    return numbered.join(gone, "row__", "left_anti").drop("row__")
+    left = numbered.join(gone, "row__", "left_anti").drop("row__")
+    return left.withColumnsRenamed({new: old for old, new in renamed.items()})
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

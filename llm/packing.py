@@ -16,7 +16,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from llm.hashing import pieces
 from llm.pretokens import ChunkEncoder
-from llm.tables import bucket_count, ranked, stored, table
+from llm.tables import bucket_count, ranked, set_aside, stored, table
 
 CAPACITY = 1024
 END_ID = 2
@@ -287,6 +287,10 @@ def best_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return branch(histogram, min(found, key=lambda patterns: sum(times for _, times in patterns)), capacity)
 
 
+#: Names that ``pack`` uses on its way; columns of the caller that have one keep it.
+_OWN = ["length_p", "from_", "to_", "each_", "first_", "offset_", "rank", "rank_of"]
+
+
 def pack(piece_rows: DataFrame, keys: list[str], capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a stored table of pieces with ``length``.
 
@@ -295,6 +299,8 @@ def pack(piece_rows: DataFrame, keys: list[str], capacity: int = CAPACITY) -> Da
     ``sqrt(2 * capacity)`` different lengths, so the broadcast table of places has a bounded number of rows.
     """
     spark = piece_rows.sparkSession
+    piece_rows, renamed = set_aside(piece_rows, _OWN)
+    keys = [renamed.get(k, k) for k in keys]
     histogram = {r["length"]: r["count"] for r in piece_rows.groupBy("length").count().collect()}
     places, first_sequence, used = [], 0, dict.fromkeys(histogram, 0)
     for pattern, times in best_patterns(histogram, capacity):
@@ -315,6 +321,7 @@ def pack(piece_rows: DataFrame, keys: list[str], capacity: int = CAPACITY) -> Da
         .withColumn("sequence_id", F.col("first_") + F.floor(inside / F.col("each_")))
         .withColumn("offset", F.col("offset_") + F.pmod(inside, F.col("each_")) * F.col("length"))
         .drop("length_p", "from_", "to_", "each_", "first_", "offset_", "rank", "rank_of")
+        .withColumnsRenamed({new: old for old, new in renamed.items()})
     )
 
 

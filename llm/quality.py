@@ -193,6 +193,8 @@ def judged(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     Null and empty texts have no words and fail the base rule.  Repeated rows are judged alike, each
     on its own.  An empty table gives an empty result.
     """
+    if set(keys) & {"stats", "votes", "base_failed", "quality", "kept"}:
+        raise ValueError("a key has the name of a result column; rename it")
     stats = stored(docs.select(*keys, text_stats(text).alias("stats")))
     good = quality(fit(stats))
     failed = F.expr(_prefix(BASE_FAILED, "stats"))

@@ -25,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with those of its columns that have one of the names renamed, and how: new names by old ones.
+
+    For operators that use such names themselves; they give the old names back at the end.
+    """
+    taken = set(df.columns)
+    renamed = {}
+    for name in names:
+        if name in taken:
+            fresh = f"{name}_own"
+            while fresh in taken:
+                fresh += "_"
+            renamed[name] = fresh
+    return df.withColumnsRenamed(renamed), renamed
+
+
 def ranked(rows: DataFrame, group: list[str], bucket: Column, order: list[Column], name: str = "rank") -> DataFrame:
     """Add each row's rank from 0 within ``group``: by ``bucket``, then by ``order``.
 

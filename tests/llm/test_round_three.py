@@ -233,3 +233,20 @@ def test_the_derived_log_has_all_events_on_every_conversation(spark):
     # Without what edits and regenerations drop, the drafts would stand in the messages.
     kept = rows(chat.fold(events.where("kind = 'delta'")), "text")
     assert any("ereht olleh" in t for (t,) in kept)
+
+
+# -- clashing names ------------------------------------------------------------
+
+
+def test_columns_named_like_helpers_are_kept(spark):
+    from llm import neardup, packing, quality
+
+    text = " ".join(f"word{k}" for k in range(60))
+    docs = stored(spark.createDataFrame([(1, text, 70), (2, text, 71), (3, "other " + text[:200], 72)], "doc_id BIGINT, text STRING, row__ INT"))
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns and {r["row__"] for r in kept.collect()} == {70, 72}
+    pieces = stored(spark.createDataFrame([(1, 600, 7, 8), (2, 400, 9, 10)], "doc_id BIGINT, length BIGINT, rank INT, first_ INT"))
+    packed = packing.pack(pieces, ["doc_id", "rank"])
+    assert rows(packed, "doc_id", "rank", "first_") == [(1, 7, 8), (2, 9, 10)] and {"sequence_id", "offset"} <= set(packed.columns)
+    with pytest.raises(ValueError, match="result column"):
+        quality.judged(docs.withColumn("stats", F.lit(1)), ["doc_id", "stats"])
