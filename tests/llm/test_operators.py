@@ -389,8 +389,8 @@ def test_nearest_of_different_norms(spark, norms):
 
 def test_licenses_inherit_from_the_nearest_directory(spark):
     files = [
-        ("LICENSE", licenses.TEMPLATES["MIT"]), ("a/COPYING.txt", "x y z\n" + licenses.TEMPLATES["GPL-3.0"].upper()), ("a/b/f.txt", None), ("a/g.txt", "text"),
-        ("h.txt", ""), ("a/own.txt", "some words\n" + licenses.TEMPLATES["Apache-2.0"] + "\nmore"), (None, "text"), ("a/g.txt", "text"), ("c/far/LICENSE", "no notice"), ("c/far/x", "the license is under a"),
+        ("LICENSE", licenses.TEMPLATES["MIT"][0]), ("a/COPYING.txt", "x y z\n" + licenses.TEMPLATES["GPL-3.0"][0].upper()), ("a/b/f.txt", None), ("a/g.txt", "text"),
+        ("h.txt", ""), ("a/own.txt", "some words\n" + licenses.TEMPLATES["Apache-2.0"][0] + "\nmore"), (None, "text"), ("a/g.txt", "text"), ("c/far/LICENSE", "no notice"), ("c/far/x", "the license is under a"),
     ]
     df = spark.createDataFrame(files, "path STRING, text STRING").withColumn("license", F.lit("clash"))
     got = {r["path"]: (r["license"], r["directory"]) for r in licenses.licenses(df.select("path", "text")).collect()}

@@ -250,3 +250,26 @@ def test_columns_named_like_helpers_are_kept(spark):
     assert rows(packed, "doc_id", "rank", "first_") == [(1, 7, 8), (2, 9, 10)] and {"sequence_id", "offset"} <= set(packed.columns)
     with pytest.raises(ValueError, match="result column"):
         quality.judged(docs.withColumn("stats", F.lit(1)), ["doc_id", "stats"])
+
+
+# -- 9 -------------------------------------------------------------------------
+
+STATED = {
+    "MIT License": "MIT", "The MIT License (MIT)": "MIT", "# SPDX-License-Identifier: MIT": "MIT", "GNU GENERAL PUBLIC LICENSE": "GPL",
+    "BSD 3-Clause License": "BSD-3-Clause", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007": "GPL-3.0",
+    "// Licensed under the Apache License,\n// Version 2.0 (the \"License\");\n// you may not use this file except in\n// compliance with the License.": "Apache-2.0",
+    "x = 1\nPermission is hereby granted, free of charge, to any person obtaining a copy of this\nsoftware and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including": "MIT",
+    "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "Mozilla Public License Version 2.0": "MPL-2.0", "GNU Affero General Public License version 3": "AGPL-3.0",
+    "GNU Lesser General Public License version 3": "LGPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
+    "a license to drive": None, "the public was free to use this version of the software": None, "mit der Zeit": None, "": None, "\n\n\n": None,
+}
+
+
+def test_licenses_as_their_publishers_word_them(spark):
+    from llm import licenses
+
+    files = [(f"{k}/f", "some words here\n\n" + text + "\n\nand some after") for k, text in enumerate(STATED)]
+    files += [("long/f", "line of words\n" * 30_000 + "MIT License\n" + "more\n" * 10_000), ("none/f", None)]
+    got = {r["path"]: r["license"] for r in licenses.notices(spark.createDataFrame(files, "path STRING, text STRING")).collect()}
+    assert {text: got.get(f"{k}/f") for k, text in enumerate(STATED)} == STATED
+    assert got["long/f"] == "MIT" and "none/f" not in got
