@@ -278,3 +278,21 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", size:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents over 3-word shingles at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Every pair that shares a shingle, compared on full sets; components by reachability.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.root FROM reach r JOIN edge e ON e.a = r.doc_id),
+lowest AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM lowest LEFT JOIN n USING (doc_id)
+"""

@@ -15,6 +15,7 @@ from llm.licenses import op9_licenses
 from llm.linedup import ORACLE as LINE_ORACLE
 from llm.linedup import op1_line_dedup
 from llm.lm import op2_lm_scoring
+from llm.neardup import ORACLE as NEAR_ORACLE
 from llm.neardup import op6_near_duplicates
 from llm.packing import op10_packing
 from llm.quality import op7_quality
@@ -31,6 +32,7 @@ QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_ORACLE,
     "op5_chat": CHAT_ORACLE,
+    "op6_near_duplicates": NEAR_ORACLE,
     "op9_licenses": LICENSE_ORACLE,
     "op11_divergence": DIVERGENCE_ORACLE,
     "op12_vector_codes": CODE_ORACLE,
