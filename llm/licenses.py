@@ -1,6 +1,6 @@
 """License scan: sparse TF-IDF cosine of lines to license texts, then inheritance from the nearest directory.
 
-DataFrame functions only.  Terms are runs of ASCII letters and digits, lower case.  A license has several
+DataFrame functions only.  Terms are runs of ASCII letters and digits, lower case, but for a few common words.  A license has several
 templates: its title, its identifier, notices and the beginning of its text.  Weights are tf * ln(1 + N / df) over the
 N templates; a term of no template weighs as if one template had it.  What is compared is every run of up to
 ``RUN`` lines, so a notice that is broken over lines is found, and the whole text.
@@ -82,6 +82,8 @@ TEMPLATES = {
 RUN = 5
 MIN_COSINE = 0.8
 _TERM = "[a-z0-9]+"
+#: Words that say nothing about a license and are no terms.
+COMMON = "a an and any as at be by for from in into is it may not of on or that the this to with you".split()
 _LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.-][^/]*)?$"
 
 
@@ -89,7 +91,7 @@ class _Model:
     """Weights of the templates; small, since they grow with the list of templates only."""
 
     def __init__(self, templates: dict[str, list[str]], min_cosine: float):
-        counts = {(name, k): Counter(re.findall(_TERM, text.lower())) for name, texts in templates.items() for k, text in enumerate(texts)}
+        counts = {(name, k): Counter(t for t in re.findall(_TERM, text.lower()) if t not in COMMON) for name, texts in templates.items() for k, text in enumerate(texts)}
         spread = Counter(term for terms in counts.values() for term in terms)
         self.idf = {term: math.log(1 + len(counts) / n) for term, n in spread.items()}
         self.unknown = math.log(1 + len(counts))
@@ -127,36 +129,46 @@ def _runs(lines: Column, signs: str) -> Column:
 def notices(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
     """path, license, cosine: the best match of any run of lines, or of the whole text, of each file that has one.
 
-    Ties go to the smaller name.  Rows of equal path are one file; null texts have no lines.
+    A match shares two different terms with the template at least.  Ties go to the smaller name.  Rows of
+    equal path are one file; null texts have no lines.
     """
     spark, model = files.sparkSession, _Model(templates, min_cosine)
     if not model.signs:
         return files.select("path", F.lit(None).cast("string").alias("license"), F.lit(None).cast("double").alias("cosine")).limit(0)
     signs = f"(?<![a-z0-9])({'|'.join(sorted(model.signs))})(?![a-z0-9])"
     text = F.lower("text")
-    # As the output of a generator the lines of a text, and the terms of a run, are found once, not once for each use.
-    cut = files.where(text.rlike(signs)).select("path", text.alias("text"), F.explode(F.array(F.split(text, "\n", -1))).alias("lines"))
-    runs = F.explode(F.array_distinct(F.concat(_runs(F.col("lines"), signs), F.array("text"))))
-    terms = F.array_distinct(F.regexp_extract_all("line", F.lit(f"({_TERM})")))
-    found = cut.select("path", runs.alias("line")).select("path", "line", F.explode(F.array(terms)).alias("terms"))
-    # The terms a run shares with a template bound their cosine.
+    # The terms shared with a template bound the cosine, and two at least have to be shared.
     parts = F.array(
         *[
             F.array(*[F.struct(F.lit(t).alias("t"), F.lit((n * model.idf[t] / model.norm[name]) ** 2).alias("w")) for t, n in sorted(c.items())])
             for name, c in sorted(model.counts.items())
         ]
     )
-    bound = lambda own: F.aggregate(own, F.lit(0.0), lambda total, x: total + F.when(F.array_contains("terms", x["t"]), x["w"]).otherwise(0.0))
-    near = found.where(F.exists(parts, lambda own: bound(own) >= (min_cosine - 1e-9) ** 2))
+    shared = lambda own: F.filter(own, lambda x: F.array_contains("terms", x["t"]))
+    weight = lambda own: F.aggregate(shared(own), F.lit(0.0), lambda total, x: total + x["w"])
+    possible = F.exists(parts, lambda own: (weight(own) >= (min_cosine - 1e-9) ** 2) & (F.size(shared(own)) >= 2))
+    # As the output of a generator the lines of a text, and the terms of a run, are found once, not once for each use.
+    common = F.array(*[F.lit(w) for w in COMMON])
+    words_of = lambda c: F.filter(F.regexp_extract_all(c, F.lit(f"({_TERM})")), lambda t: ~F.array_contains(common, t))
+    vocabulary = F.array(*[F.lit(t) for t in sorted(model.idf)])
+    known = lambda c: F.explode(F.array(F.array_intersect(F.regexp_extract_all(c, F.lit(f"({_TERM})")), vocabulary))).alias("terms")
+    cut = files.where("text is not null").select("path", text.alias("text"), known(text))
+    # A file without two terms of one template, or without enough of its weight, has no run that matches.
+    cut = cut.where(possible).select("path", "text", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
+    runs = F.explode(F.array_distinct(F.concat(_runs(F.col("lines"), signs), F.array("text"))))
+    found = cut.select("path", runs.alias("line")).select("path", "line", known("line"))
+    near = found.where(possible)
     near = stored(near.select("path", F.xxhash64("line").alias("unit"), "line").dropDuplicates(["path", "unit"]))
-    each = near.select("path", "unit", F.explode(F.regexp_extract_all("line", F.lit(f"({_TERM})"))).alias("term"))
+    each = near.select("path", "unit", F.explode(words_of("line")).alias("term"))
     counted = each.groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
     idf = F.broadcast(_literal_rows(spark, sorted(model.idf.items()), ["term", "idf"]))
     weighed = counted.join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(model.unknown)))
     norms = weighed.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     weights = [(name, k, term, n * model.idf[term] / model.norm[name, k]) for (name, k), c in model.counts.items() for term, n in c.items()]
     template = F.broadcast(_literal_rows(spark, sorted(weights), ["license", "template", "term", "share"]))
-    dots = weighed.join(template, "term").groupBy("path", "unit", "license", "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
+    dots = weighed.join(template, "term").groupBy("path", "unit", "license", "template").agg(
+        F.sum(F.col("w") * F.col("share")).alias("dot"), F.count("*").alias("shared")
+    ).where("shared >= 2")
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
     scored = dots.join(norms, ["path", "unit"]).select("path", "license", cosine.alias("cosine")).where(F.col("cosine") >= min_cosine)
     best = F.max_by("license", F.struct("cosine", *_descending(F.col("license"))))
@@ -227,7 +239,7 @@ def _oracle() -> str:
 WITH templates(license, template, notice) AS (VALUES {values}),
 tpl AS (
   SELECT license, template, term, count(*) AS tf
-  FROM (SELECT license, template, unnest(regexp_extract_all(lower(notice), '{_TERM}')) AS term FROM templates) GROUP BY ALL),
+  FROM (SELECT license, template, unnest(regexp_extract_all(lower(notice), '{_TERM}')) AS term FROM templates) WHERE term NOT IN ({', '.join(repr(w) for w in COMMON)}) GROUP BY ALL),
 idf AS (SELECT term, ln(1 + (SELECT count(*) FROM templates) / count(*)) AS idf FROM tpl GROUP BY term),
 tw AS (SELECT license, template, term, tf * idf AS w, sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY license, template)) AS norm FROM tpl JOIN idf USING (term)),
 files AS (
@@ -239,12 +251,12 @@ runs AS (
   FROM (SELECT path, lines, size, unnest(range(1, len(lines) - size + 2)) AS i
         FROM (SELECT path, string_split(text, chr(10)) AS lines FROM files), range(1, {RUN + 1}) r(size))),
 units AS (SELECT DISTINCT path, line FROM (FROM runs UNION ALL SELECT path, text FROM files)),
-terms AS (SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest(regexp_extract_all(line, '{_TERM}')) AS term FROM units) GROUP BY ALL),
+terms AS (SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest(regexp_extract_all(line, '{_TERM}')) AS term FROM units) WHERE term NOT IN ({', '.join(repr(w) for w in COMMON)}) GROUP BY ALL),
 weighed AS (SELECT path, line, t.term, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates))) AS w FROM terms t LEFT JOIN idf USING (term)),
 norms AS (SELECT path, line, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
 scored AS (
   SELECT path, license, round(sum(weighed.w * tw.w / tw.norm) / any_value(norms.norm), 6) AS cosine
-  FROM weighed JOIN tw USING (term) JOIN norms USING (path, line) GROUP BY path, line, license, template
+  FROM weighed JOIN tw USING (term) JOIN norms USING (path, line) GROUP BY path, line, license, template HAVING count(DISTINCT term) >= 2
 ),
 own AS (SELECT path, license, cosine FROM scored WHERE cosine >= {MIN_COSINE} QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, license) = 1),
 levels AS (SELECT source AS directory, 1 AS depth, path, doc_id FROM files UNION ALL SELECT d2, 2, path, doc_id FROM files UNION ALL SELECT d3, 3, path, doc_id FROM files),
