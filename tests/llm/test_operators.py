@@ -118,8 +118,11 @@ def test_line_dedup_of_awkward_rows(docs, none):
 # -- 2 -------------------------------------------------------------------------
 
 
-def test_scores_are_the_formula(docs, none):
-    out = lm.score(wide(docs), F.crc32(F.col("doc_id").cast("string")) % 7 != 2, strength=3.0).collect()
+#: The second gives a tree of three levels that joins two askers at a time, over blocks of one text or a few.
+@pytest.mark.parametrize("sizes", [lm.Sizes(), lm.Sizes(4_000, 1_000, 1)])
+def test_scores_are_the_formula(docs, none, sizes):
+    learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    out = lm.score(wide(docs), learn, strengths=(3.0, 2.0), min_seen=2, sizes=sizes).collect()
     known = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] is not None}
     learns = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2
     tokens = lambda t: [*words_of(t), None]
@@ -128,15 +131,23 @@ def test_scores_are_the_formula(docs, none):
     two = Counter(p for t in train for p in zip(["start", *t], t))
     total, types = sum(one.values()), len(one)
     state = Counter(one) + Counter({"start": len(train)})
-    assert len(out) == docs.count()
+    three = Counter(p for t in train for p in zip(["start", *t], t, t[1:]) if two[p[:2]] > 1 and two[p[1:]] > 1)
+    context = Counter()
+    for (u, v, _), n in three.items():
+        context[u, v] += n
+    low = lambda w: (one[w] + 1) / (total + types + 1)
+    middle = lambda v, w: (two[v, w] + 3 * low(w)) / (state[v] + 3)
+    high = lambda u, v, w: (three[u, v, w] + 2 * middle(v, w)) / (context[u, v] + 2)
+    for u, v in [*context][:5]:
+        assert sum(high(u, v, w) for w in one) + 2 / (context[u, v] + 2) * (1 - sum(middle(v, w) for w in one)) == pytest.approx(1), "arcs and failure arc share out one"
+    assert len(out) == docs.count() and three
     for r in out:
         if r["doc_id"] is None:
             continue
         t = tokens(known[r["doc_id"]])
-        low = [(one[w] + 1) / (total + types + 1) for w in t]
-        score = sum(math.log10((two[h, w] + 3 * p) / (state[h] + 3)) for h, w, p in zip(["start", *t], t, low))
+        score = math.log10(middle("start", t[0])) + sum(math.log10(high(*p)) for p in zip(["start", *t], t, t[1:]))
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not learns(r["doc_id"]), len(t), sum(w in one for w in t), total)
-        assert r["base_score"] == pytest.approx(sum(map(math.log10, low))) and r["score"] == pytest.approx(score)
+        assert r["base_score"] == pytest.approx(sum(map(math.log10, map(low, t)))) and r["score"] == pytest.approx(score)
     assert lm.score(none, F.lit(True)).count() == 0
 
 
