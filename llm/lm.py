@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
             places = np.arange(len(words)) + np.repeat(np.arange(docs), np.diff(at))
             tokens = np.full(len(words) + docs, _END, U64)
             tokens[places] = words
-            vocabulary, ids = np.unique(tokens, return_inverse=True)
+            vocabulary, ids, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+            # Frequent words get small numbers; among words of like frequency hashes stay sorted.
+            order = np.lexsort((vocabulary, -np.frexp(counts)[1]))
+            number_of = np.empty(len(order), "<u4")
+            number_of[order] = np.arange(len(order))
+            vocabulary, ids = vocabulary[order], number_of[ids]
             sizes = np.diff(at) + 1
             keys = pa.concat_arrays([batch.column(0).slice(first, docs)])
             number += 1
@@ -67,8 +73,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
                     one(keys),
                     one(pa.concat_arrays([batch.column(1).slice(first, docs)])),
                     one(pa.array(sizes.astype(np.int32))),
-                    pa.array([vocabulary.tobytes()], pa.binary()),
-                    pa.array([_planes(ids.astype("<u4"))], pa.binary()),
+                    pa.array([_planes(np.diff(vocabulary, prepend=U64(0)))], pa.binary()),
+                    pa.array([_planes(ids)], pa.binary()),
                     pa.array([len(tokens)], pa.int64()),
                 ],
                 names=["block", "keys", "trains", "sizes", "vocabulary", "tokens", "n_tokens"],
@@ -76,13 +82,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers by byte position: the high bytes of small numbers are runs of zeros, which compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    """Numbers by byte position, compressed: the high bytes of small numbers are runs of zeros."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T))
 
 
 def _unplanes(data: bytes, kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 def _messages(owner: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -161,7 +167,7 @@ class _Block:
         sizes, trains = (np.array(row[name][0].values.to_numpy(zero_copy_only=False)) for name in ("sizes", "trains"))
         self.trains = trains.astype(bool)
         self.learns = np.repeat(self.trains, sizes)
-        words = np.frombuffer(row["vocabulary"][0].as_py(), U64)
+        words = np.cumsum(_unplanes(row["vocabulary"][0].as_py(), U64), dtype=U64)
         self.tokens = _unplanes(row["tokens"][0].as_py(), "<u4").astype(np.int64)
         self.n_words = len(words)
         self.starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
