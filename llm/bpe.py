@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import tempfile
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,6 +28,8 @@ from llm.tables import table
 VOCABULARY = "byte_bpe_multi_50k"
 #: Words of a query, and what is remembered from one batch to the next; both bound memory only.
 WORDS, KNOWN = 10_000, 200_000
+#: Bytes of long words of a query; a longer word is a query of its own.
+LONG_BYTES = 200_000
 #: Bytes from which a word's equal pairs are contracted together.
 LONG = 64
 
@@ -58,16 +61,29 @@ WITH RECURSIVE step(word, pos, tok, round) USING KEY (word, pos) AS (
 SELECT word, list(tok ORDER BY pos) AS ids FROM step WHERE tok >= 0 GROUP BY word ORDER BY word
 """
 _NEIGHBOURS = """
-SELECT n.word, n.pos, n.after, n.tok, n.round, m.merged FROM (
-  SELECT word, pos, tok, round, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS after
+SELECT n.word, n.pos, n.tok, n.round, m.merged, safe,
+  merged < least(coalesce(g.rank, 65536), coalesce(made_g.rank, 65536), coalesce(made_h.rank, 65536))
+    AND merged <= coalesce(h.rank, 65536) AS local
+FROM (
+  SELECT word, pos, tok, round, lag(tok) OVER w AS prev_tok, lead(tok) OVER w AS next_tok, lead(tok, 2) OVER w AS third_tok
   FROM step WHERE tok >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)
-) n LEFT JOIN merges m ON m.pair = n.tok::BIGINT * 65536 + n.next_tok
+) n
+LEFT JOIN merges m ON m.pair = n.tok::BIGINT * 65536 + n.next_tok
+LEFT JOIN safe ON safe.id = m.merged
+LEFT JOIN guard_left g ON g.pair = n.prev_tok::BIGINT * 65536 + n.tok
+LEFT JOIN guard_right h ON h.pair = n.next_tok::BIGINT * 65536 + n.third_tok
+LEFT JOIN guard_left made_g ON made_g.pair = n.prev_tok::BIGINT * 65536 + m.merged
+LEFT JOIN guard_right made_h ON made_h.pair = m.merged::BIGINT * 65536 + n.third_tok
 """
-#: All pairs of minimum rank that do not overlap, from the left.  A merged token from which no pair of lower
-#: rank can come (``safe``) leaves the other pairs of its rank next in turn, so the result is the same.
+#: All pairs of minimum rank that do not overlap, from the left, and all pairs elsewhere that nothing can beat.
+#: A merged token from which no pair of lower rank can come (``safe``) leaves the other pairs of its rank next in
+#: turn.  If no token that could still grow up to a pair's left or right would merge with one of its two, or
+#: with what they make, at a lower rank (``local``; the guards hold those least ranks), the pair is contracted sooner or
+#: later, and doing so now changes no step before that: every such step has a lower rank, or an equal one, and touches
+#: neither token.  Two such pairs never overlap.  So the result is the same, in few rounds for most words.
 _ALL = f"""
 SELECT word, pos, CASE WHEN hit THEN merged WHEN lag(hit) OVER (PARTITION BY word ORDER BY pos) THEN -1 ELSE tok END, round + 1 FROM (
-  SELECT *, coalesce(merged = low, false) AND CASE WHEN safe THEN in_island % 2 = 1 ELSE nth = 1 END AS hit FROM (
+  SELECT *, coalesce(local, false) OR (coalesce(merged = low, false) AND CASE WHEN safe THEN in_island % 2 = 1 ELSE nth = 1 END) AS hit FROM (
     SELECT *, row_number() OVER (PARTITION BY word, merged = low, island ORDER BY pos) AS in_island FROM (
       SELECT *, place - nth AS island FROM (
         SELECT *, row_number() OVER (PARTITION BY word ORDER BY pos) AS place, row_number() OVER (PARTITION BY word, merged = low ORDER BY pos) AS nth FROM (
@@ -75,7 +91,7 @@ SELECT word, pos, CASE WHEN hit THEN merged WHEN lag(hit) OVER (PARTITION BY wor
         )
       )
     )
-  ) LEFT JOIN safe ON safe.id = merged WHERE low IS NOT NULL
+  ) WHERE low IS NOT NULL
 )
 """
 
@@ -97,9 +113,35 @@ class Tokenizer:
         self._table("merges", pa.table({"pair": left << 16 | right, "merged": merged.astype(np.int32), "key": merged << 16}))
         self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "chars": [w.decode("latin-1") for w in ranks]}))
         self._table("safe", pa.table({"id": pa.array(ranks.values(), pa.int32()), "safe": [r not in unsafe for r in ranks.values()]}))
+        self.guarded = False
         self.encode = ChunkEncoder(self._encode_chunks, KNOWN)
         self.words = {}
 
+    def _guard(self) -> None:
+        """The least rank at which a token b merges with one that ends in a (left), or begins with a (right), by pair.
+
+        Long words alone need it, so it is made with the first of them.
+        """
+        ranks, left, right = self.ranks, (array("q"), array("i")), (array("q"), array("i"))
+        for word, rank in ranks.items():
+            for i in range(1, len(word)):
+                if (one := ranks.get(word[:i])) is None or (two := ranks.get(word[i:])) is None:
+                    continue
+                for k in range(i):
+                    if (end := ranks.get(word[k:i])) is not None:
+                        left[0].append(end << 16 | two)
+                        left[1].append(rank)
+                for k in range(i + 1, len(word) + 1):
+                    if (start := ranks.get(word[i:k])) is not None:
+                        right[0].append(one << 16 | start)
+                        right[1].append(rank)
+        for name, (pairs, least) in (("guard_left", left), ("guard_right", right)):
+            pairs, least = np.frombuffer(pairs, np.int64), np.frombuffer(least, np.int32)
+            order = np.lexsort((least, pairs))
+            first = order[np.flatnonzero(np.diff(pairs[order], prepend=-1))]
+            self._table(name, pa.table({"pair": pairs[first], "rank": least[first]}))
+        self.guarded = True
+
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("arrow_rows", rows)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM arrow_rows")
@@ -129,9 +171,16 @@ class Tokenizer:
         for k in range(0, len(short), WORDS):
             part = short[k : k + WORDS]
             found.update(zip(part, self._merge(part, _SHORT)))
-        for word in words:
-            if len(word) >= LONG:
-                found[word] = self._merge([word], _LONG.format(contract=_ALL))[0]
+        part, size = [], 0
+        for word in [*(w for w in words if len(w) >= LONG), None]:
+            if part and (word is None or size + len(word) > LONG_BYTES):
+                if not self.guarded:
+                    self._guard()
+                found.update(zip(part, self._merge(part, _LONG.format(contract=_ALL))))
+                part, size = [], 0
+            if word is not None:
+                part.append(word)
+                size += len(word)
         return [found[w] for w in words]
 
     def _encode_chunks(self, texts: list[str]) -> list[bytes]:

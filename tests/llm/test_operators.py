@@ -175,6 +175,12 @@ def test_bpe_is_the_library(docs, none):
     assert Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in out) == Counter((r["doc_id"], ids(r["text"]), (r["text"] or "").encode()) for r in docs.collect())
     texts = odd_texts(800) + ["".join(random.Random(n).choice("etaoinsh") for _ in range(500)) for n in range(3)] + ["=" * 5_000, "ab" * 900]
     assert bpe._tokenizer("byte_bpe_multi_50k").encode(texts) == [ids(t) for t in texts]
+    draw = random.Random(11)
+    of = lambda parts, n: "".join(draw.choice(parts) for _ in range(n))
+    han = [chr(0x4E00 + i) for i in range(3_000)]
+    long = [of(han, 20_000), "，".join(of(han, 30) for _ in range(300)), of("abcdefghijklmnopqrstuvwxyz", 1_500), *(of("aab", 500) for _ in range(20))]
+    long += [of(["the", "ing", "tion", "er", "a", "re", "s", "é"], 100) for _ in range(100)]
+    assert bpe._tokenizer("byte_bpe_multi_50k").encode(long) == [ids(t) for t in long]
     assert bpe.encode(none, ["doc_id"]).count() == 0
 
 
