@@ -127,13 +127,31 @@ def _dictionary_words(entries: list[str], smart: bool):
     sent = spark.sparkContext.broadcast(entries)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cut = _automaton(digest, sent.value)
-        return texts.map(lambda t: None if t is None else cut(t, smart))
+        for texts in batches:
+            for some in _pieces(texts):
+                yield some.map(lambda t: None if t is None else cut(t, smart))
 
     return split
 
 
+#: Characters whose words a Python worker holds at once, unless one text is longer.
+PIECE = 1 << 18
+
+
+def _pieces(texts: pd.Series, size: int = PIECE) -> Iterator[pd.Series]:
+    """The texts in order, cut into runs of at most ``size`` characters or one text."""
+    begin, held = 0, 0
+    for at, text in enumerate(texts):
+        length = len(text) if text is not None else 0
+        if at > begin and held + length > size:
+            yield texts.iloc[begin:at]
+            begin, held = at, 0
+        held += length
+    yield texts.iloc[begin:]
+
+
 def register_word_table(
     spark: SparkSession, name: str = "ik_analyze", dictionary: Iterable[str] = (), smart: bool = False
 ) -> None:
