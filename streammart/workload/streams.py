@@ -75,21 +75,34 @@ class Run:
         return as_stream_time(roles.page_log_of(self.events()), "event_time")
 
     @contextmanager
-    def settings(self) -> Iterator[None]:
-        """State in RocksDB, in one partition per core."""
-        spark = self.spark
-        parts = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    def settings(self, waits: bool = True) -> Iterator[None]:
+        """State in RocksDB, in one partition per core, written as changes and without a count of its rows,
+        for which every write would read first.
+
+        A stream that ``waits`` emits rows as the watermark passes them, and gets a micro-batch without data
+        for that.  An inner join emits its pairs as rows arrive: there that batch could only empty the state.
+        """
+        conf = self.spark.conf
+        new = {
+            "spark.sql.shuffle.partitions": str(self.spark.sparkContext.defaultParallelism),
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+            "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+            "spark.sql.streaming.noDataMicroBatches.enabled": str(waits).lower(),
+        }
+        old = {name: conf.get(name, None) for name in new}
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        for name, value in new.items():
+            conf.set(name, value)
         try:
             yield
         finally:
-            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for name, value in old.items():
+                conf.unset(name) if value is None else conf.set(name, value)
 
-    def finish(self, stream: DataFrame) -> DataFrame:
+    def finish(self, stream: DataFrame, waits: bool = True) -> DataFrame:
         """Run a stream until its input is used up; what it wrote."""
         spark, out = self.spark, self.path("out")
-        with self.settings():
+        with self.settings(waits):
             query = (
                 stream.writeStream.format("parquet")
                 .option("checkpointLocation", self.path("checkpoint"))
@@ -99,9 +112,9 @@ class Run:
             query.awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
 
-    def chained(self, stream: DataFrame) -> DataFrame:
+    def chained(self, stream: DataFrame, waits: bool = True) -> DataFrame:
         """What a stream writes to its end, as a stream again."""
-        done = self.finish(stream)
+        done = self.finish(stream, waits)
         return self.spark.readStream.schema(done.schema).parquet(done.inputFiles()[0].rsplit("/", 1)[0])
 
 
@@ -159,7 +172,7 @@ def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interval join of two streams."""
     run = Run(spark, sf_dir)
     wide = join_order_lines(*_orders(run), lower="-5 days", upper="5 days")
-    out = run.finish(wide.filter("order_id >= 0"))
+    out = run.finish(wide.filter("order_id >= 0"), waits=False)
     return out.select(
         "order_id", "detail_id", "sku_id", "sku_num", "user_id", "province_id", "order_status",
         "create_date", "create_hour",
@@ -195,9 +208,9 @@ def stream_keyword_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments joined with the wide lines of their orders, both as streams."""
     run = Run(spark, sf_dir)
-    wide = run.chained(join_order_lines(*_orders(run), **_WITHIN))
+    wide = run.chained(join_order_lines(*_orders(run), **_WITHIN), waits=False)
     paid = join_payments(roles.payments_of(_order_feed(run)), wide, lower="-15 days")
-    return payment_columns(run.finish(paid.filter("order_id >= 0")))
+    return payment_columns(run.finish(paid.filter("order_id >= 0"), waits=False))
 
 
 def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,15 +221,15 @@ def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, sf_dir)
     events = lambda: run.events("error", "click", "view", "signup")
     pages = lambda: as_stream_time(roles.page_log_of(events()), "event_time")
-    wide = join_order_lines(*_orders(run), **ANY_TIME)
-    paid = join_payments(roles.payments_of(_order_feed(run)), run.chained(wide), lower="-15 days")
+    wide = run.chained(join_order_lines(*_orders(run), **ANY_TIME), waits=False)
+    paid = run.chained(join_payments(roles.payments_of(_order_feed(run)), wide, lower="-15 days"), waits=False)
     feeds = sources(
         pages=pages(),
         displays=pages().filter("ch = 'view'"),
         favors=roles.product_events_of(events(), "signup"),
         carts=roles.product_events_of(events(), "view"),
-        order_wide=run.chained(wide),
-        payment_wide=run.chained(paid),
+        order_wide=wide,
+        payment_wide=paid,
         refunds=roles.refunds_of(_line_feed(run)),
         comments=roles.product_events_of(events(), "error"),
     )
