@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pandas as pd
@@ -63,3 +64,27 @@ def test_a_worker_cuts_texts_in_pieces(spark):
     for smart in (False, True):
         cut = df.select("n", words("s", ["mit license"], smart).alias("w")).collect()
         assert {r["n"]: r["w"] for r in cut} == {**{k: ["the", "mit license"] * 2000 for k in range(30)}, 30: None, 31: []}
+
+
+def test_day_reports_leave_the_lines_where_they_are(spark, monkeypatch, tmp_path):
+    """Only the orders of the day meet the lines, so no line is shuffled by its order; a large day still is."""
+    head = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ"
+    day = [dt.datetime(1997, 5, 28), dt.datetime(1997, 5, 28, 23, 59, 59), dt.datetime(1997, 5, 29), dt.datetime(1997, 5, 27, 23, 59, 59), None]
+    orders = [(k % 17, k % 3 or None, "F", 10.0 + k, day[k % 5]) for k in range(40)]
+    line = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    lines = [(k % 19 or None, k % 4, k % 6 or None, 1.0, 2.0, day[k % 4]) for k in range(90)]
+    tables = {"orders": (orders, head), "lineitem": (lines, line), "customer": ([(1, 7), (1, 8), (2, 9), (None, 5)], "c_custkey BIGINT, c_nationkey INT")}
+    for name, (given, schema) in tables.items():
+        spark.createDataFrame(given, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    stats = lambda wide: q.product_measures([q.order_rows(wide)], "1 day")
+    of_day = lambda wide, d: sorted(map(tuple, q.reports.on_day(stats(wide), d).collect()))
+    days = [q.ORDER_DAY, 19970529, 19000101]
+    whole = [of_day(q._wide(spark, str(tmp_path), **q.ANY_TIME), d) for d in days]
+    assert whole[0] and whole[1] and not whole[2]
+    for limit in (skew.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(skew, "fits_broadcast", lambda df, limit=limit: skew.content_bytes(df) <= limit)
+        for d, expected in zip(days, whole):
+            wide = q._wide_on(spark, str(tmp_path), d)
+            plan = wide._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == (limit < 0), plan
+            assert of_day(wide, d) == sorted(map(tuple, stats(wide).collect())) == expected
