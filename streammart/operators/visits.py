@@ -30,11 +30,13 @@ def repair_is_new(
     order_by: Sequence[str],
     mid: str = "mid",
     flag: str = "is_new",
+    newcomers: DataFrame | None = None,
 ) -> DataFrame:
     """Let only a visitor's first ``'1'`` row stay ``'1'``; the rest become ``'0'``.
 
     Rows with any other flag, or without a visitor, are neither changed nor counted.  ``order_by`` must
-    tell any two rows of a visitor apart (time plus an id or topic position).
+    tell any two rows of a visitor apart (time plus an id or topic position).  With ``newcomers``, a table
+    of visitors, no row of any other visitor stays ``'1'``.
 
     The first row per visitor is found on the narrow key columns and joined back
     on visitor *and* position, a key no two rows share, so the wide rows of one
@@ -43,6 +45,8 @@ def repair_is_new(
     claims = (F.col(flag) == "1") & F.col(mid).isNotNull()
     new = log.filter(claims)
     firsts = first_per_key(new.select(mid, *order_by), [mid], order_by)
+    if newcomers is not None:
+        firsts = firsts.join(newcomers.select(F.col(mid).alias("_newcomer")), F.col(mid) == F.col("_newcomer"), "left_semi")
     keys = [mid, *order_by]
     marks = firsts.select(
         *[F.col(c).alias(f"_first_{i}") for i, c in enumerate(keys)], F.lit(True).alias("_first")

@@ -22,6 +22,11 @@ from streammart.sources import files
 COLUMNS = ("value", "topic", "src_partition", "src_offset")
 
 
+#: Bytes of values in a part of a topic's file that one task reads.  With Parquet's own 128 MB one task would
+#: parse some 800,000 records, however many are free.
+ROW_GROUP = 8 << 20
+
+
 def checkpoint_id(spark: SparkSession) -> str:
     """What tells the running query's checkpoint from any other; batch numbers start anew with each."""
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
@@ -158,7 +163,7 @@ class Topics:
         aside = f"{self.root}/_aside/{name}-{batch}-{uuid.uuid4().hex}"
         # Small batches make one file per topic; a topic with many records is split.
         dealt = records.select("topic", "value").hint("rebalance", "topic")
-        dealt.write.partitionBy("topic").parquet(aside)
+        dealt.write.option("parquet.block.size", ROW_GROUP).partitionBy("topic").parquet(aside)
         topics = [n for n in files.names(spark, aside) if n.startswith("topic=")]
         for topic in topics:
             self._deliver(spark, f"{aside}/{topic}", f"{self.root}/{topic}/src={name}/batch={batch}")

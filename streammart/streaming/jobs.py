@@ -25,7 +25,8 @@ from streammart.sources.topics import Topics, checkpoint_id
 from streammart.streaming.visits import (
     daily_unique_visits_stream,
     detect_bounces_stream,
-    repair_is_new_stream,
+    mark_newcomers,
+    repair_marked,
 )
 
 POSITION = ["ts", "src_partition", "src_offset"]
@@ -92,13 +93,20 @@ def log_base(
 
     Records that are not JSON, or name no visitor, go to a topic of their own.
     """
-    good, dirty = split_dirty(logs.parse_app_log(wh.topics.read(spark, source)))
-    unknown = good.filter("mid IS NULL")
-    fixed = repair_is_new_stream(good.filter("mid IS NOT NULL"), POSITION)
-    records = logs.split_records(fixed)
-    for aside in (dirty, unknown):
-        records = records.unionByName(aside.select(F.lit(dirty_topic).alias("topic"), "value"))
-    return wh.topics.write_routed(records, "log_base", wh.trigger)
+    log = mark_newcomers(logs.parse_app_log(wh.topics.read(spark, source)))
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            visitors = batch.filter("_newcomer OR NOT dirty AND mid IS NOT NULL").drop("dirty")
+            aside = batch.filter("NOT _newcomer AND (dirty OR mid IS NULL)")
+            records = logs.split_records(repair_marked(visitors, POSITION))
+            records = records.unionByName(aside.select(F.lit(dirty_topic).alias("topic"), "value"))
+            wh.topics.put(records, wh.topics.source(batch.sparkSession, "log_base"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return wh.start(log, "log_base", route)
 
 
 def db_base(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streammart.functions.times import as_stream_time, seconds
-from streammart.operators.visits import is_entry, visit_date
+from streammart.operators.visits import is_entry, repair_is_new, visit_date
 
 
 def daily_unique_visits_stream(
@@ -76,7 +76,8 @@ def repair_is_new_stream(
     """Streaming form of ``repair_is_new``.
 
     Within a micro-batch the earliest row wins, between batches the earlier
-    batch.  Only rows that claim to be new pass through the stateful step.
+    batch.  Only rows that claim to be new pass through the stateful step, in Python; where the
+    micro-batch is at hand, :func:`mark_newcomers` and :func:`repair_marked` do the same without it.
     """
     claims = F.col(flag) == "1"
     new = log.filter(claims)
@@ -91,6 +92,26 @@ def repair_is_new_stream(
     return repaired.unionByName(log.filter(F.coalesce(~claims, F.lit(True))))
 
 
+def mark_newcomers(log: DataFrame, mid: str = "mid", flag: str = "is_new") -> DataFrame:
+    """The log, and one row more for every visitor who claims to be new for the first time.
+
+    That row has the visitor only, and true as ``_newcomer``.  The state is one key per visitor, and no row
+    leaves the JVM.  :func:`repair_marked` then repairs each micro-batch.
+    """
+    claims = log.filter((F.col(flag) == "1") & F.col(mid).isNotNull())
+    marks = claims.select(mid).dropDuplicates([mid]).withColumn("_newcomer", F.lit(True))
+    return log.withColumn("_newcomer", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+
+
+def repair_marked(batch: DataFrame, order_by: list[str], mid: str = "mid", flag: str = "is_new") -> DataFrame:
+    """A micro-batch of :func:`mark_newcomers`, repaired as by :func:`repair_is_new_stream`.
+
+    Only a newcomer's earliest row stays ``'1'``.  The micro-batch is read several times: persist it.
+    """
+    rows = batch.filter(~F.col("_newcomer")).drop("_newcomer")
+    return repair_is_new(rows, order_by, mid, flag, newcomers=batch.filter("_newcomer").select(mid))
+
+
 def detect_bounces_stream(
     log: DataFrame,
     tiebreak: str,

@@ -88,3 +88,16 @@ def test_day_reports_leave_the_lines_where_they_are(spark, monkeypatch, tmp_path
             plan = wide._jdf.queryExecution().executedPlan().toString()
             assert ("SortMergeJoin" in plan) == (limit < 0), plan
             assert of_day(wide, d) == sorted(map(tuple, stats(wide).collect())) == expected
+
+
+def test_topic_files_can_be_read_by_many_tasks(spark, tmp_path):
+    """A topic's file has parts of a few MB of values, so one file does not mean one task."""
+    import pyarrow.parquet as pq
+
+    from streammart.sources.topics import ROW_GROUP, Topics
+
+    topics = Topics(root=str(tmp_path))
+    value = F.concat_ws("-", *[F.xxhash64("id", F.lit(k)) for k in range(12)])
+    topics.put(spark.range(150_000).select(F.lit("t").alias("topic"), value.alias("value")), "s")
+    groups = [pq.ParquetFile(f).metadata.num_row_groups for f in tmp_path.rglob("topic=t/**/*.parquet")]
+    assert sum(groups) >= 150_000 * 230 / ROW_GROUP and topics.read(spark, "t", streaming=False).count() == 150_000

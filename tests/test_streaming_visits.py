@@ -10,7 +10,9 @@ from streammart.operators.visits import daily_unique_visits, detect_bounces, rep
 from streammart.streaming.visits import (
     daily_unique_visits_stream,
     detect_bounces_stream,
+    mark_newcomers,
     repair_is_new_stream,
+    repair_marked,
 )
 
 SCHEMA = "id BIGINT, mid STRING, last_page_id STRING, is_new STRING, event_time TIMESTAMP"
@@ -102,3 +104,42 @@ def test_restart_does_not_repeat(spark, tmp_path, parts):
     )
     query.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == before
+
+
+def test_marked_repair_equals_stream_repair(spark, tmp_path, parts):
+    """Repaired micro-batch by micro-batch, with a restart before each, and nothing of it in Python."""
+    whole, files = parts
+    files[1] = files[1].unionByName(log(spark, [(None, None, "1", 8), ("q", None, None, 9)]).withColumn("id", F.col("id") + 100))
+    order = ["event_time", "id"]
+    expected = rows(run(spark, tmp_path / "stream", files, lambda df: repair_is_new_stream(df.filter("mid IS NOT NULL"), order)), "id", "mid", "is_new")
+    source, plans = str(tmp_path / "in"), []
+
+    def write(batch, batch_id):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        batch.persist()
+        repair_marked(batch, order).write.mode("overwrite").parquet(str(tmp_path / f"out/batch={batch_id}"))
+        batch.unpersist()
+
+    for df in files:
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = mark_newcomers(spark.readStream.schema(SCHEMA).parquet(source)).writeStream.foreachBatch(write)
+        stream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    found = rows(spark.read.parquet(str(tmp_path / "out")), "id", "mid", "is_new")
+    assert [r for r in found if r[1] is not None] == expected and (100, None, "1") in found
+    assert len(found) == len(expected) + 1 == whole.count() + 2
+
+
+def test_log_base_keeps_its_rows_out_of_python(spark, tmp_path):
+    from streammart.sources.topics import Topics
+    from streammart.streaming.jobs import Warehouse, log_base
+
+    topics = Topics(root=str(tmp_path / "topics"), checkpoints=str(tmp_path / "cp"))
+    value = '{"common": {"mid": "m", "is_new": "1"}, "page": {"page_id": "home"}, "ts": %d}'
+    topics.put(spark.createDataFrame([("ods_base_log", value % t) for t in (2, 1, 3)], "topic STRING, value STRING"), "client", 0)
+    query = log_base(spark, Warehouse(topics, str(tmp_path / "stats"), str(tmp_path / "dims"), trigger={"availableNow": True}))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert not [s for p in query.recentProgress for s in p.stateOperators if "transformWithState" in s.operatorName]
+    sent = topics.read(spark, "dwd_page_log", streaming=False)
+    flags = sent.select(F.get_json_object("value", "$.ts").alias("ts"), F.get_json_object("value", "$.common.is_new").alias("f"))
+    assert rows(flags) == [("1", "1"), ("2", "0"), ("3", "0")]
