@@ -22,8 +22,8 @@ from streammart.sources import files
 COLUMNS = ("value", "topic", "src_partition", "src_offset")
 
 
-#: Bytes of values in a part of a topic's file that one task reads.  With Parquet's own 128 MB one task would
-#: parse some 800,000 records, however many are free.
+#: Bytes, as compressed, of a part of a topic's file that one task reads.  With Parquet's own 128 MB one task
+#: parsed 800,000 records, however many others were free.
 ROW_GROUP = 8 << 20
 
 
