@@ -5,9 +5,11 @@ the rotated coordinates is a cross-polytope of its own, and the nearest signed a
 16,384.  A query probes, in every table, the buckets of its nearest axes in the first half with its nearest in the
 second.  How many axes is one number for every table, so that a pair that is found stays found as rows are added.
 
-Buckets of one first axis travel together as a cell, which is cut where it is large.  A cell holds directions in half
-precision; a candidate's score is known there within a proven error, and a query keeps all whose upper bound reaches
-the lower bound of the last place.  What is left of all cells is scored on the original vectors in double precision.
+Points and queries are dealt in blocks, and a task holds one block of each with the buckets of all tables, so that a
+vector travels once per block and not once per table and bucket.  Within a task the points of a first axis meet the
+queries that probe it.  Directions are held in half precision; a candidate's score is known there within a proven error,
+and a query keeps all whose upper bound reaches the lower bound of its last place so far, which all tables of the task
+share.  What is left of all blocks is scored on the original vectors in double precision.
 
 Long vectors can win far from the query's direction, so where norms differ, the longest of the table are candidates of
 every query.  Equal vectors are one candidate that carries its smallest ids, as many as a result can hold, so a vector
@@ -28,12 +30,12 @@ from llm.tables import stored, table
 
 #: Tables, results, and most axes of a half.
 TABLES, NEAREST, AXES = 16, 20, 128
-#: Points and queries that meet in one task.
-CELL_POINTS, CELL_QUERIES = 4_000, 2_000
-#: Points whose cells go through one task, one cell after the other, so that a query has few best lists to merge.
-TASK_POINTS = 100_000
-#: Share of the points, the longest, that every query meets if norms differ by more than rounding; and their bucket.
-LONGEST, ROUNDING, LONG_BUCKET = 1 / 16, 1e-5, -1
+#: Points of a block: about ``BLOCKS`` blocks, within these bounds; and most queries of a block.
+BLOCKS, BLOCK_POINTS, BLOCK_QUERIES = 24, (4_096, 65_536), 16_384
+#: Scores a task holds at once.
+SCORES = 1 << 22
+#: Share of the points, the longest, that every query meets if norms differ by more than rounding.
+LONGEST, ROUNDING = 1 / 16, 1e-5
 #: Relative error of an inner product of two directions in half precision.
 HALF = 2.0**-10 + 2.0**-14
 
@@ -82,13 +84,13 @@ def _vectors(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-_PLACED = "id long, bucket long, codes binary, direction binary, norm double"
+_PLACED = "id long, firsts binary, seconds binary, direction binary, norm double"
 
 
 def _hashed(width: int, tables: int, probes: int):
-    """Rows (id, vector) -> one row per table and first axis: the second axes as bytes, the direction and the norm.
+    """Rows (id, vector) -> the axes of both halves, table by table, as bytes, the direction and the norm.
 
-    With 0 ``probes`` the bucket of a point, else the buckets a query probes.
+    With 0 ``probes`` the nearest axes, which are the bucket of a point, else those a query probes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,26 +101,23 @@ def _hashed(width: int, tables: int, probes: int):
             length = np.sqrt((scaled * scaled).sum(1))
             unit = scaled / length[:, None]
             # One more coordinate, so that even powers of two of dimensions have twice the axes.
-            ids, buckets, codes = [], [], []
-            for t, y in enumerate(rotations(np.column_stack([unit, np.zeros(len(x))]), tables)):
+            firsts, seconds = [np.zeros((len(x), 0), np.uint8)], [np.zeros((len(x), 0), np.uint8)]
+            for y in rotations(np.column_stack([unit, np.zeros(len(x))]), tables):
                 half = min(AXES // 2, y.shape[1] // 2)
-                first, second = (np.concatenate([h, -h], 1) for h in (y[:, :half], y[:, half : 2 * half]))
-                some = probes or 1
-                one, two = (np.argsort(-a, 1, kind="stable")[:, :some] for a in (first, second))
-                ids.append(np.repeat(np.arange(len(x)), one.shape[1]))
-                buckets.append((one + t * AXES).ravel())
-                codes.append(np.repeat(two.astype(np.uint8), one.shape[1], axis=0))
-            at = pa.array(np.concatenate(ids))
-            halves = pa.array([d.tobytes() for d in unit.astype(np.float16)], pa.binary())
+                for found, h in ((firsts, y[:, :half]), (seconds, y[:, half : 2 * half])):
+                    signed = np.concatenate([h, -h], 1)
+                    axes = np.argsort(-signed, 1, kind="stable")[:, :probes] if probes else signed.argmax(1)[:, None]
+                    found.append(axes.astype(np.uint8))
+            binary = lambda rows: pa.array([r.tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(at),
-                    pa.array(np.concatenate(buckets), pa.int64()),
-                    pa.array([c.tobytes() for c in np.concatenate(codes)], pa.binary()),
-                    halves.take(at),
-                    pa.array(most * length).take(at),
+                    batch.column(0),
+                    binary(np.concatenate(firsts, 1)),
+                    binary(np.concatenate(seconds, 1)),
+                    binary(unit.astype(np.float16)),
+                    pa.array(most * length),
                 ],
-                ["id", "bucket", "codes", "direction", "norm"],
+                ["id", "firsts", "seconds", "direction", "norm"],
             )
 
     return run
@@ -127,19 +126,24 @@ def _hashed(width: int, tables: int, probes: int):
 class _Best:
     """The candidates of each query that can still be among its nearest, over all cells of a task."""
 
-    def __init__(self, nearest: int):
-        self.nearest, self.parts, self.size = nearest, [], 0
+    def __init__(self, nearest: int, most: int = 1 << 20):
+        self.nearest, self.most, self.parts, self.size = nearest, most, [], 0
+        #: Queries and the lower bound of the last place of each, when the candidates were last looked through.
+        self.least = np.zeros(0, np.int64), np.zeros(0)
 
-    def add(self, *columns: np.ndarray) -> None:
+    def add(self, *columns: np.ndarray) -> bool:
+        """Whether the candidates were looked through."""
         self.parts.append(columns)
         self.size += len(columns[0])
-        if self.size > 1 << 20:
-            kept = self.kept()
-            self.parts, self.size = [kept], len(kept[0])
+        if self.size <= self.most:
+            return False
+        kept = self.kept()
+        self.parts, self.size = [kept], len(kept[0])
+        return True
 
     def kept(self) -> tuple[np.ndarray, ...]:
         """Query, point, lower and upper bound of the score."""
-        if not self.parts:
+        if not self.size:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         query, point, low, high = (np.concatenate(c) for c in zip(*self.parts))
         order = np.lexsort((-low, point, query))
@@ -149,71 +153,123 @@ class _Best:
         query, point, low, high = query[new], point[new], low[new], high[new]
         order = np.lexsort((-low, query))
         query, point, low, high = query[order], point[order], low[order], high[order]
-        _, begin, group = np.unique(query, return_index=True, return_inverse=True)
+        named, begin, group = np.unique(query, return_index=True, return_inverse=True)
         # One more than wanted, as a query's own vector is no candidate.
         last = begin + self.nearest
         ends = np.append(begin[1:], len(query))
         least = np.where(last < ends, low[np.minimum(last, len(low) - 1)], -np.inf)
+        self.least = named, least
         fit = high >= least[group]
         return query[fit], point[fit], low[fit], high[fit]
 
 
-def _directions(column: pa.Array) -> np.ndarray:
-    whole = np.frombuffer(b"".join(column.to_pylist()), np.float16)
-    return whole.reshape(len(column), -1).astype(np.float32)
+class _Block:
+    """The points of one block and the queries of another, all their tables."""
+
+    def __init__(self, points: pa.Table, queries: pa.Table, tables: int, nearest: int):
+        matrix = lambda t, name: np.frombuffer(b"".join(t[name].to_pylist()), np.uint8).reshape(len(t), -1)
+        self.p_ids, self.q_ids = points["id"].to_numpy(), queries["id"].to_numpy()
+        self.points, self.asked = (matrix(t, "direction").view(np.float16).astype(np.float32) for t in (points, queries))
+        self.norms, self.far = points["norm"].to_numpy(), points["far"].to_numpy(zero_copy_only=False)
+        self.p_first, self.p_second = (matrix(points, c) for c in ("firsts", "seconds"))
+        self.q_first, self.q_second = (matrix(queries, c).reshape(len(queries), max(tables, 1), -1) for c in ("firsts", "seconds"))
+        self.tables = tables
+        self.best = _Best(nearest, max(1 << 18, 64 * len(queries)))
+        self.least = np.full(len(queries), -np.inf)
+
+    def compare(self, who: np.ndarray, here: np.ndarray, probed: np.ndarray | None = None, second: np.ndarray | None = None) -> None:
+        """Queries ``who`` meet points ``here``; where ``probed`` is given, those whose second axis they probe."""
+        step = max(1, SCORES // len(here))
+        if len(who) > step:
+            for k in range(0, len(who), step):
+                self.compare(who[k : k + step], here, probed, second)
+            return
+        norms, least = self.norms[here], self.least[who]
+        score = self.asked[who] @ self.points[here].T
+        # No score below this can reach the last place, whatever the norm of its point.
+        with np.errstate(over="ignore", invalid="ignore"):
+            floor = np.where(least >= 0, least / norms.max(), least / norms.min()) - HALF - 1e-6
+        floor[np.isnan(floor)] = -np.inf
+        at = np.flatnonzero(score >= floor.astype(np.float32)[:, None])
+        row, column = np.divmod(at, len(here))
+        if probed is not None:
+            fit = probed[who[row], second[here[column]]]
+            row, column = row[fit], column[fit]
+        # A query's own norm orders nothing: bounds are of the inner product with its direction.
+        norm = norms[column]
+        value, slack = score[row, column].astype(np.float64) * norm, HALF * norm
+        fit = value + slack >= least[row]
+        row, column, value, slack = row[fit], column[fit], value[fit], slack[fit]
+        if len(row) and self.best.add(who[row], here[column], value - slack, value + slack):
+            found, lows = self.best.least
+            self.least[found] = np.maximum(self.least[found], lows)
+
+    def met(self) -> pa.RecordBatch:
+        far = np.flatnonzero(self.far)
+        if len(far):
+            every = np.arange(len(self.q_ids))
+            for k in range(0, len(far), 4_096):
+                self.compare(every, far[k : k + 4_096])
+        for t in range(self.tables):
+            first, asked = self.p_first[:, t], self.q_first[:, t]
+            probed = np.zeros((len(self.q_ids), AXES), bool)
+            probed[np.arange(len(probed))[:, None], self.q_second[:, t]] = True
+            by_axis, by_probe = np.argsort(first, kind="stable"), np.argsort(asked.ravel(), kind="stable")
+            cuts = np.arange(AXES + 1)
+            p_cut, q_cut = np.searchsorted(first[by_axis], cuts), np.searchsorted(asked.ravel()[by_probe], cuts)
+            for axis in range(AXES):
+                here, who = by_axis[p_cut[axis] : p_cut[axis + 1]], by_probe[q_cut[axis] : q_cut[axis + 1]] // asked.shape[1]
+                for k in range(0, len(here) if len(who) else 0, 4_096):
+                    self.compare(who, here[k : k + 4_096], probed, self.p_second[:, t])
+        query, point, low, high = self.best.kept()
+        columns = self.q_ids[query], self.p_ids[point], low, high
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "id", "low", "high"])
+
+
+def _meet(tables: int, nearest: int):
+    """Rows sorted by pair of blocks, points before queries -> what each query can use of the points of the pair."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, held = None, []
 
-def _meet(nearest: int):
-    """Rows sorted by cell, points before queries -> what each query can use of the task's cells."""
+        def met() -> Iterator[pa.RecordBatch]:
+            if held:
+                rows = pa.Table.from_batches(held)
+                sides = rows["side"].to_numpy()
+                points, queries = rows.filter(pa.array(sides == 0)), rows.filter(pa.array(sides == 1))
+                if len(points) and len(queries):
+                    yield _Block(points, queries, tables, nearest).met()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, cell, held = _Best(nearest), None, []
         for batch in batches:
-            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "p_part", "q_part", "side")], 1)
+            keys = np.stack([batch[c].to_numpy() for c in ("p_part", "q_part")], 1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            for begin, end in zip([0, *cuts], [*cuts, len(keys)]):
-                rows, key = batch.slice(begin, end - begin), tuple(keys[begin, :3])
-                ids, norms = rows["id"].to_numpy(), rows["norm"].to_numpy()
-                codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(ids), -1)
-                if not keys[begin, 3]:
-                    held = [*held, (ids, norms, codes[:, 0], _directions(rows["direction"]))] if key == cell else [(ids, norms, codes[:, 0], _directions(rows["direction"]))]
-                    cell = key
-                elif key == cell:
-                    held = [tuple(np.concatenate(c) for c in zip(*held))]
-                    p_ids, p_norms, p_codes, points = held[0]
-                    asked = _directions(rows["direction"])
-                    for code in np.unique(p_codes):
-                        here, who = np.flatnonzero(p_codes == code), np.flatnonzero((codes == code).any(1))
-                        if not len(who):
-                            continue
-                        # A query's own norm orders nothing: bounds are of the inner product with its direction.
-                        score = (asked[who] @ points[here].T).astype(np.float64) * p_norms[here]
-                        slack = np.broadcast_to(HALF * p_norms[here], score.shape)
-                        best.add(np.repeat(ids[who], len(here)), np.tile(p_ids[here], len(who)), (score - slack).ravel(), (score + slack).ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.kept()], ["query_id", "id", "low", "high"])
+            for begin, end in zip([0, *cuts], [*cuts, len(keys)] if len(keys) else []):
+                if (key := tuple(keys[begin])) != pair:
+                    yield from met()
+                    pair, held = key, []
+                held.append(batch.slice(begin, end - begin))
+        yield from met()
 
     return run
 
 
-def _dealt(probed: DataFrame, placed: DataFrame, queries: DataFrame, points: DataFrame, total: int, nearest: int) -> DataFrame:
-    """query_id, rank, vec_id, score of what meets in a bucket; ``total`` is the number of points."""
-    p_size = placed.groupBy("bucket").agg(F.ceil(F.count("*") / CELL_POINTS).cast("int").alias("p_parts"))
-    q_size = probed.groupBy("bucket").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("q_parts"))
-    # At most one row per table and axis.
-    parts = F.broadcast(p_size.join(q_size, "bucket"))
-
-    def cells(rows: DataFrame, side: int, own: str, other: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own.replace("parts", "part"))
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other.replace("parts", "part"))
-        dealt = rows.join(parts, "bucket").select("*", mine).select("*", every)
-        return dealt.select("bucket", "p_part", "q_part", F.lit(side).alias("side"), "id", "codes", "direction", "norm")
-
-    cell = ["bucket", "p_part", "q_part"]
-    # Neighbouring axes of a table share a task, all of them in small tables; parts of a cut cell go apart.
-    groups = max(1, min(AXES, -(-total // TASK_POINTS)))
-    task = [F.floor(F.col("bucket") * groups / AXES), F.col("p_part"), F.col("q_part")]
-    both = cells(placed, 0, "p_parts", "q_parts").unionByName(cells(probed, 1, "q_parts", "p_parts"))
-    met = both.repartition(*task).sortWithinPartitions(*cell, "side").mapInArrow(_meet(nearest), "query_id long, id long, low double, high double")
+def _dealt(probed: DataFrame, placed: DataFrame, queries: DataFrame, points: DataFrame, total: int, tables: int, nearest: int) -> DataFrame:
+    """query_id, rank, vec_id, score of what meets in a bucket, or is ``far``; ``total`` is the number of points."""
+    p_parts = max(1, -(-total // max(BLOCK_POINTS[0], min(BLOCK_POINTS[1], total // BLOCKS))))
+    q_parts = max(1, -(-queries.count() // BLOCK_QUERIES))
+
+    def dealt(rows: DataFrame, side: int, own: str, mine: int, other: str, others: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
+        placed = rows.select("*", place).select("*", every)
+        return placed.select("p_part", "q_part", F.lit(side).alias("side"), "id", "firsts", "seconds", "direction", "norm", "far")
+
+    both = dealt(placed, 0, "p_part", p_parts, "q_part", q_parts).unionByName(
+        dealt(probed.withColumn("far", F.lit(False)), 1, "q_part", q_parts, "p_part", p_parts)
+    )
+    # More partitions than pairs of blocks, so that few pairs share one.
+    pairs = both.repartition(3 * p_parts * q_parts, "p_part", "q_part").sortWithinPartitions("p_part", "q_part", "side")
+    met = pairs.mapInArrow(_meet(tables, nearest), "query_id long, id long, low double, high double")
     once = met.groupBy("query_id", "id").agg(F.max("low").alias("low"), F.max("high").alias("high"))
     by_low = Window.partitionBy("query_id").orderBy(F.desc("low"), "id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     least = F.nth_value("low", nearest + 1).over(by_low)
@@ -253,23 +309,16 @@ def search(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
     cut = (points.agg(F.percentile_approx("norm", 1 - longest, 10_000)).first()[0] or 0.0) * (1 + ROUNDING)
     queries = kept.where("asks").select("id", "vector")
 
-    def hashed(rows: DataFrame, probes: int) -> DataFrame:
+    def hashed(rows: DataFrame, tables: int, probes: int) -> DataFrame:
         return rows.select("id", "vector").mapInArrow(_hashed(width, tables, probes), _PLACED)
 
-    def at_once(rows: DataFrame, bucket: int) -> DataFrame:
-        """All rows in one bucket, with one code."""
-        found = rows.select("id", "vector").mapInArrow(_hashed(width, 1, 0), _PLACED)
-        return found.withColumns({"bucket": F.lit(bucket).cast("long"), "codes": F.lit(b"\0")})
-
-    placed, probed = hashed(points, 0), hashed(queries, PROBES)
-    if longest > 0:
-        placed = placed.unionByName(at_once(points.where(F.col("norm") > cut), LONG_BUCKET))
-        probed = probed.unionByName(at_once(queries, LONG_BUCKET))
-    found = stored(_dealt(probed, placed, queries, points, n_points, nearest))
+    far = F.col("norm") > cut if longest > 0 else F.lit(False)
+    found = stored(_dealt(hashed(queries, tables, PROBES), hashed(points, tables, 0).withColumn("far", far), queries, points, n_points, tables, nearest))
     counted = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("c")).where(F.col("c") >= min(nearest, total - 1))
     short = stored(queries.join(counted, "id", "left_anti"))
     if total > 1 and short.limit(1).count():
-        rest = _dealt(at_once(short, 0), at_once(points, 0), short, points, n_points, nearest)
+        every = hashed(points, 0, 0).withColumn("far", F.lit(True))
+        rest = _dealt(hashed(short, 0, 0), every, short, points, n_points, 0, nearest)
         found = found.join(short, found["query_id"] == short["id"], "left_anti").unionByName(rest)
     return found.select("query_id", "rank", "vec_id", "score")
 
