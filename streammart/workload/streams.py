@@ -9,20 +9,22 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streammart.functions.times import as_stream_time
 from streammart.operators.visits import daily_unique_visits
+from streammart.operators.windows import union_feeds
 from streammart.plans.keyword_stats import keyword_stats
 from streammart.plans.order_wide import join_order_lines, join_payments
-from streammart.plans.product_stats import product_measures, sources, with_product_dims
+from streammart.plans.product_stats import MEASURED, measure_rows, product_measures, sources, with_product_dims
 from streammart.plans.province_stats import province_stats
 from streammart.plans.visitor_stats import visitor_stats
 from streammart.schemas import PROVINCE_STATS
 from streammart.session import ROCKSDB, shared_dir
+from streammart.streaming.batches import Kept, Write, interval_join_batches, tagged, window_batches
 from streammart.streaming.visits import (
     daily_unique_visits_stream,
     detect_bounces_stream,
@@ -99,23 +101,27 @@ class Run:
             for name, value in old.items():
                 conf.unset(name) if value is None else conf.set(name, value)
 
-    def finish(self, stream: DataFrame, waits: bool = True) -> DataFrame:
-        """Run a stream until its input is used up; what it wrote."""
+    def finish(self, stream: DataFrame, waits: bool = True, each: Callable[[Write], Callable[[DataFrame, int], None]] | None = None) -> DataFrame:
+        """Run a stream until its input is used up; what it wrote.
+
+        ``each`` makes a ``foreachBatch`` function of the one that writes what a micro-batch gives.
+        """
         spark, out = self.spark, self.path("out")
-        with self.settings(waits):
-            query = (
-                stream.writeStream.format("parquet")
-                .option("checkpointLocation", self.path("checkpoint"))
-                .trigger(availableNow=True)
-                .start(out)
-            )
+
+        def write(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{out}/batch-{batch_id}")
+
+        with nullcontext() if each else self.settings(waits):
+            writer = stream.writeStream.option("checkpointLocation", self.path("checkpoint")).trigger(availableNow=True)
+            query = writer.foreachBatch(each(write)).start() if each else writer.format("parquet").start(out)
             query.awaitTermination()
-        return spark.read.schema(stream.schema).parquet(out)
+        return spark.read.parquet(f"{out}/*") if each else spark.read.schema(stream.schema).parquet(out)
 
-    def chained(self, stream: DataFrame, waits: bool = True) -> DataFrame:
+    def chained(self, stream: DataFrame, waits: bool = True, each=None) -> DataFrame:
         """What a stream writes to its end, as a stream again."""
-        done = self.finish(stream, waits)
-        return self.spark.readStream.schema(done.schema).parquet(done.inputFiles()[0].rsplit("/", 1)[0])
+        done = self.finish(stream, waits, each)
+        folder = done.inputFiles()[0].rsplit("/", 1)[0]
+        return self.spark.readStream.schema(done.schema).parquet(f"{folder.rsplit('/', 1)[0]}/*" if each else folder)
 
 
 def stream_repair_is_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,11 +174,38 @@ def _orders(run: Run) -> tuple[DataFrame, DataFrame]:
     return roles.orders_of(_order_feed(run), customers), roles.details_of(_line_feed(run))
 
 
+def _joined(run: Run, one: tuple[DataFrame, str], many: tuple[DataFrame, str], join, **bounds: str) -> tuple[DataFrame, Callable]:
+    """Two feeds, each with its time column, as one stream, and what makes the pairs of each of its micro-batches."""
+    feeds = {"one": one, "many": many}
+    at = tuple((name, time) for name, (_, time) in feeds.items())
+    return tagged(feeds), lambda write: interval_join_batches(join, write, Kept(run.path("kept")), *at, **bounds)
+
+
+def _wide_lines(run: Run, **bounds: str) -> tuple[DataFrame, Callable]:
+    """Orders and their lines.  The stream has the rows as they come; they get their shape as they are joined."""
+    customers = roles.table(run.spark, run.sf_dir, "customer")
+    orders = _order_feed(run).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    lines = _line_feed(run).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+
+    def join(heads: DataFrame, details: DataFrame) -> DataFrame:
+        return join_order_lines(roles.orders_of(heads, customers), roles.details_of(details), hot=[], **bounds)
+
+    return _joined(run, (orders, "o_orderdate"), (lines, "l_shipdate"), join, **bounds)
+
+
+def _paid_lines(run: Run, wide: DataFrame) -> tuple[DataFrame, Callable]:
+    """Payments and the wide lines of their orders, of up to 15 days before."""
+    bounds = {"lower": "-15 days", "upper": "0 seconds"}
+    payments = roles.payments_of(_order_feed(run))
+    join = lambda paid, lines: join_payments(paid, lines, hot=[], **bounds)
+    return _joined(run, (payments, "event_time"), (wide, "event_time"), join, **bounds)
+
+
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interval join of two streams."""
     run = Run(spark, sf_dir)
-    wide = join_order_lines(*_orders(run), lower="-5 days", upper="5 days")
-    out = run.finish(wide.filter("order_id >= 0"), waits=False)
+    stream, pairs = _wide_lines(run, **_WITHIN)
+    out = run.finish(stream, each=pairs).filter("order_id >= 0")
     return out.select(
         "order_id", "detail_id", "sku_id", "sku_num", "user_id", "province_id", "order_status",
         "create_date", "create_hour",
@@ -208,9 +241,9 @@ def stream_keyword_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments joined with the wide lines of their orders, both as streams."""
     run = Run(spark, sf_dir)
-    wide = run.chained(join_order_lines(*_orders(run), **_WITHIN), waits=False)
-    paid = join_payments(roles.payments_of(_order_feed(run)), wide, lower="-15 days")
-    return payment_columns(run.finish(paid.filter("order_id >= 0"), waits=False))
+    stream, pairs = _wide_lines(run, **_WITHIN)
+    stream, pairs = _paid_lines(run, run.chained(stream, each=pairs))
+    return payment_columns(run.finish(stream, each=pairs).filter("order_id >= 0"))
 
 
 def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,8 +254,10 @@ def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, sf_dir)
     events = lambda: run.events("error", "click", "view", "signup")
     pages = lambda: as_stream_time(roles.page_log_of(events()), "event_time")
-    wide = run.chained(join_order_lines(*_orders(run), **ANY_TIME), waits=False)
-    paid = run.chained(join_payments(roles.payments_of(_order_feed(run)), wide, lower="-15 days"), waits=False)
+    stream, pairs = _wide_lines(run, **ANY_TIME)
+    wide = run.chained(stream, each=pairs)
+    stream, pairs = _paid_lines(run, wide)
+    paid = run.chained(stream, each=pairs)
     feeds = sources(
         pages=pages(),
         displays=pages().filter("ch = 'view'"),
@@ -233,7 +268,11 @@ def stream_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         refunds=roles.refunds_of(_line_feed(run)),
         comments=roles.product_events_of(events(), "error"),
     )
-    stats = run.finish(product_measures(feeds, "1 day", own_watermarks=True)).filter("stt < '2099'")
+    rows = {f"feed {k}": df for k, df in enumerate(measure_rows(feeds))}
+    measure = lambda ended: product_measures([(ended, {n: F.col(n) for n in MEASURED})], "1 day", micro_batch=True)
+    windows = lambda write: window_batches(measure, write, Kept(run.path("kept")), rows, "1 day", "10 seconds")
+    stream = union_feeds([df.withColumn("_feed", F.lit(name)) for name, df in rows.items()], None)
+    stats = run.finish(stream, each=windows).filter("stt < '2099'")
     named = with_product_dims(stats, roles.dims(spark, sf_dir))
     return money(named, "sku_price", "order_amount", "payment_amount", "refund_amount")
 
