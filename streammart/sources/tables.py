@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from streammart.functions.decimals import moved
 from streammart.schemas import CODES, RULES, STATS
 from streammart.sources import files
 
@@ -64,7 +65,7 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     that is too large for one task.
     """
     by_day = stats.withColumn("dt", F.to_date(F.substring("stt", 1, 10)))
-    by_day.hint("rebalance", "dt").write.mode(mode).option(
+    moved(by_day, lambda rows: rows.hint("rebalance", "dt")).write.mode(mode).option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("dt").parquet(path)
 
